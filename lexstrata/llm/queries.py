@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language_id, packing, substring_dedup
+from . import decontaminate, jaccard_join, language_id, packing, pii, quality, substring_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,10 +32,35 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find_spans(table(spark, sf_dir, "documents"))
+    counts = [pii.count_kind(F.col("base"), k).alias(f"n_{k}") for k in pii.BASE]
+    return out.select("doc_id", *counts, F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_near_copies(table(spark, sf_dir, "documents"), k=5, percent=75)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judge(table(spark, sf_dir, "documents"), host="source")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+#: Fixed values of the contract: (verdict, host, path).
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), max_tokens=4096, closing_id=2)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -57,7 +82,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op3_language_id": op3_language_id,
+        "op4_pii": op4_pii,
         "op5_jaccard_join": op5_jaccard_join,
+        "op7_quality_rules": op7_quality_rules,
+        "op8_url_filters": op8_url_filters,
         "op9_packing": op9_packing,
         "op10_decontamination": op10_decontamination,
     }
