@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language_id, packing, pii, quality, substring_dedup, url_filter
+from . import decontaminate, jaccard_join, language_id, license_scan, lm_score, packing, pii, quality, substring_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,15 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents lie in source/<thousands>/<tens>/<doc_id>; one that opens with a licence
+    line speaks for its folder."""
+    i = F.col("doc_id")
+    path = F.concat_ws("/", "source", F.floor(i / 1000).cast("string"), F.floor(F.pmod(i, F.lit(1000)) / 10).cast("string"), i.cast("string"))
+    opens = F.coalesce(F.substring_index("text", "\n", 1).rlike("(?i)licensed under|public license"), F.lit(False))
+    return license_scan.scan(table(spark, sf_dir, "documents"), path, opens)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learn = docs.where(~language_id.held_out(F.col("doc_id"))).select(F.col("lang").alias("label"), "text")
@@ -42,6 +51,10 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_near_copies(table(spark, sf_dir, "documents"), k=5, percent=75)
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), order=2, discount=0.4)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge(table(spark, sf_dir, "documents"), host="source")
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -81,9 +94,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_license_scan": op2_license_scan,
         "op3_language_id": op3_language_id,
         "op4_pii": op4_pii,
         "op5_jaccard_join": op5_jaccard_join,
+        "op6_lm_score": op6_lm_score,
         "op7_quality_rules": op7_quality_rules,
         "op8_url_filters": op8_url_filters,
         "op9_packing": op9_packing,
