@@ -1,6 +1,450 @@
-"""Registered queries over the driver's tables, each with its oracle SQL."""
+"""Registered queries over the driver's tables, each with its oracle SQL.
+
+The tables hold no legal lines, HTML tables or OCR words, so those inputs are made from
+their rows by expressions that both engines evaluate (``synthetic``).
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import patterns as P
+from ..functions import text as T
+from ..operators import catalog as C
+from ..operators import lines as L
+from ..operators import structure as S
+from ..operators import tables as OCR
+from ..sources import sinks
+from ..streaming import incremental
+from . import oracle as O
+from . import synthetic as Y
+from .synthetic import table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register the function under its own name, with its oracle."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- catalog against outputs -------------------------------------------------------------
+
+
+def _catalog(spark, sf):
+    slug = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"))
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("numero"), F.col("source").alias("nombre"), F.col("lang").alias("ultima_reforma"), slug.alias("md_slug"))
+
+
+def _outputs(spark, sf):
+    return table(spark, sf, "labels").select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("md_slug"))
+
+
+_SQL_CATALOG = "catalog AS (SELECT doc_id AS pos, CAST(doc_id AS VARCHAR) AS numero, source AS nombre, lang AS ultima_reforma, 'doc_' || doc_id AS md_slug FROM documents), outputs AS (SELECT DISTINCT 'doc_' || doc_id AS md_slug FROM labels)"
+_SQL_LINK = "CASE WHEN o.md_slug IS NOT NULL THEN '[`' || c.md_slug || '.md`](markdown/' || c.md_slug || '.md)' ELSE '—' END AS md_link"
+
+
+@query(f"WITH {_SQL_CATALOG} SELECT c.pos, c.numero, c.nombre, c.ultima_reforma, c.md_slug, {_SQL_LINK} FROM catalog c LEFT JOIN outputs o USING (md_slug)")
+def coverage_index(spark, sf):
+    return C.coverage_index(_catalog(spark, sf), _outputs(spark, sf))
+
+
+@query(f"WITH {_SQL_CATALOG} SELECT (SELECT count(*) FROM catalog) AS total, count(*) AS done, count(*) * 100 // (SELECT count(*) FROM catalog) AS pct FROM catalog WHERE md_slug IN (SELECT md_slug FROM outputs)")
+def coverage_pct(spark, sf):
+    return C.coverage_summary(_catalog(spark, sf), _outputs(spark, sf))
+
+
+@query(f"WITH {_SQL_CATALOG} SELECT (SELECT count(*) FROM catalog) AS total, count(*) AS done, count(*) * 100 // (SELECT count(*) FROM catalog) AS pct FROM outputs")
+def coverage_pct_all_outputs(spark, sf):
+    return C.coverage_summary(_catalog(spark, sf), _outputs(spark, sf), strict=False)
+
+
+@query(f"WITH {_SQL_CATALOG} SELECT pos, md_slug FROM catalog WHERE md_slug IN (SELECT md_slug FROM outputs)")
+def labelled_docs(spark, sf):
+    return C.with_output(_catalog(spark, sf), _outputs(spark, sf)).select("pos", "md_slug")
+
+
+@query(f"WITH {_SQL_CATALOG} SELECT pos, md_slug FROM catalog WHERE md_slug NOT IN (SELECT md_slug FROM outputs)")
+def unlabelled_docs(spark, sf):
+    return C.without_output(_catalog(spark, sf), _outputs(spark, sf)).select("pos", "md_slug")
+
+
+@query(f"WITH {_SQL_CATALOG} SELECT pos, md_slug FROM (SELECT * FROM catalog ORDER BY pos LIMIT 100) WHERE md_slug NOT IN (SELECT md_slug FROM outputs)")
+def limit_then_skip(spark, sf):
+    """The limit is the operator's own: the first hundred entries, then those without output."""
+    return C.without_output(_catalog(spark, sf), _outputs(spark, sf), limit=100).select("pos", "md_slug")
+
+
+@query(
+    "SELECT 'DOC-' || d.doc_id || '_x.pdf' AS pdf_filename, coalesce('quality ' || l.quality, 'DOC ' || d.doc_id || ' x') AS title, coalesce('toxic ' || l.toxic, '') AS ultima_reforma "
+    "FROM documents d LEFT JOIN labels l USING (doc_id)"
+)
+def enrich_defaults(spark, sf):
+    name = F.concat(F.lit("DOC-"), F.col("doc_id").cast("string"), F.lit("_x.pdf")).alias("pdf_filename")
+    files = table(spark, sf, "documents").select(name)
+    known = table(spark, sf, "labels").select(name, F.concat(F.lit("quality "), F.col("quality").cast("string")).alias("nombre"), F.concat(F.lit("toxic "), F.col("toxic").cast("string")).alias("ultima_reforma"), F.lit(0).alias("pos"))
+    return C.enrich_files(files, known)
+
+
+@query("SELECT c_mktsegment AS key, last(c_custkey ORDER BY c_custkey) AS pos FROM customer GROUP BY c_mktsegment")
+def lookup_last_wins(spark, sf):
+    rows = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("key"), F.col("c_custkey").alias("pos"))
+    return C.catalog_lookup(rows, "key")
+
+
+@query(f"WITH {_SQL_CATALOG} SELECT pos, CASE WHEN length(numero) < 3 THEN lpad(numero, 3, ' ') ELSE numero END || '. ' || substr(nombre, 1, 80) AS line FROM catalog")
+def catalog_listing(spark, sf):
+    return C.listing(_catalog(spark, sf))
+
+
+@query(f"WITH {_SQL_CATALOG} SELECT CAST(pos + 9 AS INTEGER) AS n, '| ' || numero || ' | ' || nombre || ' | ' || ultima_reforma || ' | ' || md_link || ' |' AS value FROM (SELECT c.*, {_SQL_LINK} FROM catalog c LEFT JOIN outputs o USING (md_slug))")
+def index_entries(spark, sf):
+    index = C.coverage_index(_catalog(spark, sf), _outputs(spark, sf))
+    return sinks.index_lines(index, "01/01/2026", 1, 2).where("n >= 9")
+
+
+@query(
+    "SELECT sum(CASE WHEN l.doc_id IS NULL THEN 1 ELSE 0 END)::BIGINT AS converted, sum(CASE WHEN l.quality = 1 THEN 1 ELSE 0 END)::BIGINT AS skipped, "
+    "sum(CASE WHEN l.quality = 0 THEN 1 ELSE 0 END)::BIGINT AS failed FROM documents d LEFT JOIN labels l USING (doc_id)"
+)
+def status_counts(spark, sf):
+    state = F.when(F.col("quality").isNull(), "converted").when(F.col("quality") == 1, "skipped").otherwise("failed")
+    rows = table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left").select(state.alias("status"))
+    return C.status_counts(rows)
+
+
+@query("SELECT n_nationkey, '[' || row_number() OVER (ORDER BY n_nationkey) || '/' || count(*) OVER () || ']' AS label FROM nation")
+def progress_labels(spark, sf):
+    return C.progress_labels(table(spark, sf, "nation").select("n_nationkey"), "n_nationkey")
+
+
+# --- HTML -------------------------------------------------------------------------------
+
+_SQL_TEXT = r"regexp_replace(regexp_replace({}, '\s+', ' ', 'g'), '^ | $', '', 'g')"
+_SQL_UNESCAPE = "replace(replace(replace(replace(replace(replace({}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+_SQL_CELL = _SQL_TEXT.format(_SQL_UNESCAPE.format("regexp_replace({}, '(?s)<!--.*?-->|<[^>]*>', '', 'g')"))
+_SQL_TITLE = _SQL_CELL.format("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")
+_SQL_HREFS = "list_transform(regexp_extract_all(html, '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1), lambda v: " + _SQL_UNESCAPE.format("v") + ")"
+
+
+@query("SELECT page_id, string_split(url, '/')[-1] AS base, regexp_replace(string_split(url, '/')[-1], '\\.[^./]*$', '') AS stem FROM pages")
+def url_parts(spark, sf):
+    return table(spark, sf, "pages").select("page_id", T.basename(F.col("url")).alias("base"), T.stem(F.col("url")).alias("stem"))
+
+
+@query(f"SELECT page_id, CAST(len({_SQL_HREFS}) AS INTEGER) AS n_links, array_to_string({_SQL_HREFS}, ' ') AS links FROM pages")
+def html_links(spark, sf):
+    found = C.links(F.col("html"))
+    return table(spark, sf, "pages").select("page_id", F.size(found).alias("n_links"), F.array_join(found, " ").alias("links"))
+
+
+@query(f"SELECT page_id, {_SQL_TITLE} AS title FROM pages")
+def html_title(spark, sf):
+    return table(spark, sf, "pages").select("page_id", C.title(F.col("html")).alias("title"))
+
+
+@query(f"SELECT page_id, {_SQL_CELL.format('html')} AS text FROM pages")
+def html_cell_text(spark, sf):
+    return table(spark, sf, "pages").select("page_id", C.cell_text(F.col("html")).alias("text"))
+
+
+def _html_tables(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.expr(Y.HTML).alias("html"))
+
+
+_SQL_NAME = "'LEY de Aguas & Bosques ' || page_id % 9"
+
+
+@query(
+    f"SELECT page_id, 0 AS pos, 'No.' AS numero, 'Ley' AS nombre_raw, 'Reforma' AS ultima_reforma, 'x' AS links FROM pages UNION ALL "
+    f"SELECT page_id, 1, CAST(page_id AS VARCHAR), {_SQL_NAME} || ' DOF 05/02/1917 (Antes X)', 'DOF 01/02/20' || (10 + page_id % 10), "
+    "'doc/a.doc pdf/' || CASE page_id % 3 WHEN 0 THEN 'LAB_120419' WHEN 1 THEN '123' ELSE 'CPF' END || '.pdf' FROM pages"
+)
+def html_table_rows(spark, sf):
+    return C.html_rows(_html_tables(spark, sf)).withColumn("links", F.array_join("links", " "))
+
+
+@query(
+    f"WITH c AS (SELECT page_id, {_SQL_NAME} AS nombre, CASE page_id % 3 WHEN 0 THEN 'LAB_120419' WHEN 1 THEN '123' ELSE 'CPF' END AS stem, "
+    "CASE page_id % 3 WHEN 0 THEN 'LAB' WHEN 1 THEN 'LAB' || page_id % 9 ELSE 'CPF' END AS a FROM pages), "
+    "s AS (SELECT *, CASE WHEN page_id % 3 = 1 THEN 'LAB' ELSE a END || '_ley_de_aguas_bosques_' || page_id % 9 AS md_slug FROM c) "
+    "SELECT 1 AS pos, CAST(page_id AS VARCHAR) AS numero, nombre, 'DOF05/02/1917' AS dof, 'DOF 01/02/20' || (10 + page_id % 10) AS ultima_reforma, "
+    f"'{C.BASE_URL}pdf/' || stem || '.pdf' AS pdf_url, md_slug || '.pdf' AS pdf_filename, stem || '.pdf' AS pdf_filename_origen, md_slug FROM s"
+)
+def html_catalog(spark, sf):
+    return C.build_catalog(C.html_rows(_html_tables(spark, sf)))
+
+
+_SQL_SLUG = (
+    "regexp_replace(substr(regexp_replace(regexp_replace(lower(regexp_replace(translate({}, '" + T.ACCENTED + "', '" + T.PLAIN + r"'), '\p{{Mn}}', '', 'g')), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), 1, 70), '_+$', '')"
+)
+
+
+@query(f"SELECT page_id, {_SQL_SLUG.format(_SQL_TITLE)} AS slug FROM pages")
+def slugs(spark, sf):
+    return table(spark, sf, "pages").select("page_id", T.slug(C.title(F.col("html"))).alias("slug"))
+
+
+_SQL_STOP = ", ".join(f"'{w}'" for w in T.STOP_WORDS)
+_SQL_ACRONYM = (
+    "coalesce(nullif(array_to_string(list_transform(list_filter(regexp_split_to_array(trim(regexp_split_to_array({0}, '[,(]')[1]), '[\\s/-]+'), lambda w: lower(w) NOT IN (" + _SQL_STOP + ") AND regexp_matches(w, '^\\p{{L}}')), "
+    "lambda w: upper(substr(w, 1, 1)))[1:8], ''), ''), 'LEY')"
+)
+_PART_NAME = "p_name || ' de la ' || p_type || '-' || p_brand || ', y (otros)'"
+
+
+@query(f"SELECT p_partkey, {_SQL_ACRONYM.format(_PART_NAME)} AS acronym, {_SQL_ACRONYM.format(_PART_NAME)} || '_' || {_SQL_SLUG.format(_PART_NAME)} AS md_slug FROM part")
+def acronyms(spark, sf):
+    name = F.expr(_PART_NAME)
+    return table(spark, sf, "part").select("p_partkey", T.acronym(name).alias("acronym"), T.md_slug(F.lit("1"), name).alias("md_slug"))
+
+
+_SQL_REFORM = Y.REFORM.format(date="strftime(o_orderdate, '%d/%m/%Y')")
+
+
+@query(
+    f"WITH r AS (SELECT o_orderkey, {_SQL_REFORM} AS reform FROM orders) SELECT o_orderkey, CASE WHEN starts_with(reform, 'Sin reforma') THEN 'none' WHEN regexp_matches(reform, '^Notificación .*Sentencia SCJN') THEN 'ruling_notice' "
+    "WHEN contains(reform, 'Sentencia SCJN') THEN 'ruling' WHEN regexp_matches(reform, '^DOF\\s*\\d') THEN 'gazette' ELSE 'other' END AS kind, "
+    "CAST(try_strptime(regexp_extract(reform, '(\\d{2}/\\d{2}/\\d{4})', 1), '%d/%m/%Y') AS DATE) AS reform_date FROM r"
+)
+def reforms(spark, sf):
+    text = F.expr(Y.REFORM.format(date="date_format(o_orderdate, 'dd/MM/yyyy')"))
+    rows = table(spark, sf, "orders").select("o_orderkey", text.alias("reform"))
+    return rows.select("o_orderkey", T.reform_kind(F.col("reform")).alias("kind"), T.reform_date(F.col("reform")).alias("reform_date"))
+
+
+# --- lines ------------------------------------------------------------------------------
+
+
+@query(f"WITH {Y.SQL_LINES} SELECT doc_id, line_no, text FROM doc_lines")
+def doc_lines(spark, sf):
+    return Y.doc_lines(spark, sf)
+
+
+@query(f"WITH {Y.SQL_LINES} SELECT doc_id, line_no, {O._SQUEEZED} AS text FROM doc_lines WHERE {O.strip('text')} <> ''")
+def squeezed_lines(spark, sf):
+    rows = Y.doc_lines(spark, sf).withColumn("text", T.squeeze(F.col("text")))
+    return rows.where("text <> ''")
+
+
+@query(
+    f"WITH {Y.SQL_LINES}, m AS (SELECT doc_id, line_no, doc_id % 7 + 1 AS total, {Y.MARKED} AS text FROM doc_lines) "
+    f"SELECT doc_id, line_no, {O.strip(chr(40) + 'regexp_replace(text, ' + chr(39) + chr(92) + 's*' + chr(92) + 'd{1,4}' + chr(92) + 's+de' + chr(92) + 's+' + chr(39) + ' || total || ' + chr(39) + chr(92) + 's*' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')' + chr(41))} AS text FROM m"
+)
+def page_marker_clean(spark, sf):
+    rows = Y.doc_lines(spark, sf).select("doc_id", "line_no", F.expr(Y.MARKED).alias("text"))
+    return rows.select("doc_id", "line_no", L.clean_markers(F.col("text"), F.col("doc_id") % 7 + 1).alias("text"))
+
+
+_SQL_FIXED = " OR ".join(f"contains(text, '{w}')" for w in P.FURNITURE)
+
+
+@query(f"WITH {Y.SQL_LINES}, f AS (SELECT doc_id, line_no, {Y.FURNITURE} AS text FROM doc_lines) SELECT doc_id, line_no, text FROM f WHERE NOT ({_SQL_FIXED} OR {O.has('text', P.TITLE_LINE)} OR {O.has('text', P.REFORM_LINE)})")
+def body_lines(spark, sf):
+    rows = Y.doc_lines(spark, sf).select("doc_id", "line_no", F.expr(Y.FURNITURE).alias("text"))
+    return rows.where(~L.is_furniture(F.col("text")))
+
+
+@query(f"WITH {Y.SQL_LINES}, {O.headers('doc_lines')} SELECT doc_id, header, n FROM headers")
+def running_headers(spark, sf):
+    return L.running_headers(Y.doc_lines(spark, sf))
+
+
+@query(f"WITH {Y.SQL_LINES} SELECT doc_id, count(*) AS n FROM doc_lines WHERE {O.no_lower('text')} AND regexp_matches(text, '[A-ZÁÉÍÓÚÑ]{{3,}}') GROUP BY doc_id")
+def caps_lines(spark, sf):
+    return Y.doc_lines(spark, sf).where(T.all_caps(F.col("text"))).groupBy("doc_id").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH n AS (SELECT l_orderkey, l_linenumber, CASE l_orderkey % 4 WHEN 0 THEN repeat('I', l_linenumber) WHEN 1 THEN 'XL' || repeat('I', l_linenumber) WHEN 2 THEN 'LX' || repeat('X', l_linenumber - 1) || 'IV' ELSE 'XC' END AS s FROM lineitem) SELECT *, regexp_matches(s, {O.ROMAN_FORM}) AS valid FROM n")
+def roman_numerals(spark, sf):
+    s = F.expr("CASE l_orderkey % 4 WHEN 0 THEN repeat('I', l_linenumber) WHEN 1 THEN 'XL' || repeat('I', l_linenumber) WHEN 2 THEN 'LX' || repeat('X', l_linenumber - 1) || 'IV' ELSE 'XC' END")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", s.alias("s"))
+    return rows.withColumn("valid", T.is_roman(F.col("s")))
+
+
+# --- structure --------------------------------------------------------------------------
+
+
+def _kinds(spark, sf):
+    return S.classify(Y.legal_lines(spark, sf))
+
+
+@query(f"WITH {O.KINDS} SELECT doc_id, line_no, sub_no, kind, guarded, in_transitory FROM kinds")
+def line_kinds(spark, sf):
+    return _kinds(spark, sf).select("doc_id", "line_no", "sub_no", "kind", "guarded", "in_transitory")
+
+
+@query(f"WITH {O.KINDS} SELECT kind, count(*) AS n FROM kinds GROUP BY kind")
+def kind_histogram(spark, sf):
+    return _kinds(spark, sf).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {O.KINDS} SELECT doc_id, line_no, sub_no, kind, heading, body FROM kinds WHERE heading IS NOT NULL")
+def heading_split(spark, sf):
+    return _kinds(spark, sf).where("heading is not null").select("doc_id", "line_no", "sub_no", "kind", "heading", "body")
+
+
+@query(f"WITH {O.KINDS} SELECT doc_id, line_no, x FROM kinds WHERE kind = 'name'")
+def part_names(spark, sf):
+    return _kinds(spark, sf).where("kind = 'name'").select("doc_id", "line_no", "x")
+
+
+@query(f"WITH {O.KINDS} SELECT doc_id, line_no, x FROM kinds WHERE guarded")
+def article_references(spark, sf):
+    return _kinds(spark, sf).where("guarded").select("doc_id", "line_no", "x")
+
+
+@query(f"WITH {O.PIECES} SELECT doc_id, para_no, line_no, sub_no, kind, text FROM joined")
+def paragraphs(spark, sf):
+    return S.paragraphs(S.pieces(_kinds(spark, sf)))
+
+
+@query(f"WITH {O.PIECES}, c AS (SELECT doc_id, para_no, {O.clauses('text')} AS l FROM joined) SELECT doc_id, para_no, CAST(unnest(range(len(l))) AS INTEGER) AS n, unnest(l) AS text FROM c")
+def clause_split(spark, sf):
+    rows = S.paragraphs(S.pieces(_kinds(spark, sf)))
+    return rows.select("doc_id", "para_no", F.posexplode(S.split_clauses(F.col("text"))).alias("n", "text"))
+
+
+@query(f"WITH {O.MARKDOWN} SELECT doc_id, out_no, kind, text FROM md")
+def markdown_lines(spark, sf):
+    return S.markdown(Y.legal_lines(spark, sf))
+
+
+_SQL_HEAD = " || chr(10) || ".join(["'# Doc ' || d.doc_id", "''", *(f"'{x}'" for x in S.SOURCE_NOTE), "''", "'---'", "''"])
+
+
+@query(f"WITH {O.MARKDOWN}, body AS (SELECT doc_id, string_agg(text, chr(10) ORDER BY out_no) AS b FROM md GROUP BY doc_id) SELECT d.doc_id, {_SQL_HEAD} || coalesce(chr(10) || b, '') AS content FROM documents d LEFT JOIN body USING (doc_id)")
+def markdown_documents(spark, sf):
+    titles = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("Doc "), F.col("doc_id").cast("string")).alias("title"))
+    return S.render(S.markdown(Y.legal_lines(spark, sf)), titles)
+
+
+_SQL_CHUNKS = (
+    f"{O.KINDS}, c AS (SELECT *, CAST(sum(CASE WHEN kind IN ('article', 'ordinal_article') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no, sub_no ROWS UNBOUNDED PRECEDING) AS BIGINT) AS seq FROM kinds), "
+    "chunks AS (SELECT doc_id, seq, max(CASE WHEN kind IN ('article', 'ordinal_article') THEN heading END) AS heading, count(*) AS n_lines, string_agg(x, chr(10) ORDER BY line_no, sub_no) AS text FROM c GROUP BY doc_id, seq)"
+)
+
+
+@query(f"WITH {_SQL_CHUNKS} SELECT * FROM chunks")
+def article_chunks(spark, sf):
+    return S.article_chunks(_kinds(spark, sf))
+
+
+@query(f"WITH {_SQL_CHUNKS} SELECT doc_id, count(*) AS n_chunks, max(length(text)) AS longest, sum(n_lines)::BIGINT AS n_lines FROM chunks GROUP BY doc_id")
+def chunk_sizes(spark, sf):
+    rows = S.article_chunks(_kinds(spark, sf))
+    return rows.groupBy("doc_id").agg(F.count("*").alias("n_chunks"), F.max(F.char_length("text")).cast("long").alias("longest"), F.sum("n_lines").alias("n_lines"))
+
+
+@query(
+    f"WITH {O.KINDS}, h AS (SELECT *, CASE WHEN kind = 'transitory' THEN 1 WHEN kind = 'part' THEN CASE WHEN regexp_matches(heading, '(?i)^t[íi]tulo') THEN 1 WHEN regexp_matches(heading, '(?i)^cap[íi]tulo') THEN 2 ELSE 3 END "
+    "WHEN kind IN ('article', 'ordinal_article') THEN 4 WHEN kind = 'fraction' THEN 5 WHEN kind = 'clause' THEN 6 END AS level, "
+    "last_value(CASE WHEN kind IN ('part', 'transitory') THEN heading END IGNORE NULLS) OVER w AS part, "
+    "last_value(CASE WHEN kind IN ('article', 'ordinal_article') THEN heading WHEN kind IN ('part', 'transitory') THEN '' END IGNORE NULLS) OVER w AS article "
+    "FROM kinds WINDOW w AS (PARTITION BY doc_id ORDER BY line_no, sub_no ROWS UNBOUNDED PRECEDING)) "
+    "SELECT doc_id, line_no, sub_no, CAST(level AS INTEGER) AS level, coalesce(heading, regexp_extract(x, '^([IVXL]+\\.|[a-z]\\))', 1)) AS label, part, nullif(article, '') AS article FROM h WHERE level IS NOT NULL"
+)
+def hierarchy(spark, sf):
+    return S.hierarchy(_kinds(spark, sf))
+
+
+# --- tables from pictures ---------------------------------------------------------------
+
+_SQL_GRID = (
+    f"{Y.SQL_WORDS}, numbered AS (SELECT *, l_linenumber - min(l_linenumber) OVER (PARTITION BY img_id) AS row_no FROM words), "
+    "grid AS (SELECT img_id, CAST(dense_rank() OVER (PARTITION BY img_id ORDER BY l_linenumber) - 1 AS INTEGER) AS row_no, text, lft, i, l_linenumber FROM words), "
+    "grows AS (SELECT img_id, row_no, CAST(count(*) AS INTEGER) AS n, sum(CASE WHEN regexp_matches(text, '^[\\d$%,.]+%?$') THEN 1 ELSE 0 END) >= greatest(count(*) * 0.5, 2) AS is_numeric, string_agg(text, ' ' ORDER BY lft, i) AS text FROM grid GROUP BY img_id, row_no)"
+)
+
+
+@query(f"WITH {_SQL_GRID} SELECT img_id, row_no, n, is_numeric, text FROM grows")
+def ocr_rows(spark, sf):
+    return OCR.table_rows(OCR.assign_rows(OCR.usable_words(Y.ocr_words(spark, sf)))).select("img_id", "row_no", "n", "is_numeric", "text")
+
+
+@query(f"WITH {_SQL_GRID} SELECT img_id, 4 AS n_cols, '70.0 170.0 270.0' AS bounds FROM grows WHERE is_numeric GROUP BY img_id")
+def ocr_columns(spark, sf):
+    rows = OCR.table_rows(OCR.assign_rows(OCR.usable_words(Y.ocr_words(spark, sf))))
+    return OCR.column_layout(rows).select("img_id", "n_cols", F.array_join(F.transform("bounds", lambda b: b.cast("string")), " ").alias("bounds"))
+
+
+_SQL_DATA = "'| ' || replace(text, ' ', ' | ') || ' |'"
+
+
+@query(
+    # rows 0.. up to the first numeric one: one such row is the title; two are both header, their gap being the mean
+    f"WITH {_SQL_GRID}, first AS (SELECT img_id, min(row_no) AS f FROM grows WHERE is_numeric GROUP BY img_id), "
+    "cells AS (SELECT g.img_id, g.row_no, f, is_numeric, text, bool_and(is_numeric) OVER (PARTITION BY g.img_id ORDER BY g.row_no ROWS UNBOUNDED PRECEDING) AS dummy, "
+    "CASE WHEN g.row_no >= f THEN bool_and(is_numeric OR g.row_no < f) OVER (PARTITION BY g.img_id ORDER BY g.row_no ROWS UNBOUNDED PRECEDING) END AS is_data FROM grows g JOIN first USING (img_id)), "
+    "head AS (SELECT g.img_id, (g.lft // 100) AS c, string_agg(g.text, ' ' ORDER BY g.row_no) FILTER (WHERE f >= 2 AND g.row_no < f AND NOT regexp_matches(g.text, '^[,.-]$')) AS name FROM grid g JOIN first USING (img_id) GROUP BY g.img_id, c), "
+    "names AS (SELECT img_id, '| ' || string_agg(coalesce(name, 'Col ' || (c + 1)), ' | ' ORDER BY c) || ' |' AS line FROM head GROUP BY img_id), "
+    "parts AS (SELECT img_id, list(text ORDER BY row_no) FILTER (WHERE row_no < f AND f = 1) AS titles, list(" + _SQL_DATA + " ORDER BY row_no) FILTER (WHERE is_data) AS data, list(text ORDER BY row_no) FILTER (WHERE NOT is_data) AS rest FROM cells GROUP BY img_id), "
+    "md AS (SELECT img_id, [''] || coalesce(titles, []) || [line, '| --- | --- | --- | --- |'] || coalesce(data, []) || CASE WHEN rest IS NULL THEN [] ELSE [''] || rest END || [''] AS l FROM parts JOIN names USING (img_id) "
+    "UNION ALL SELECT img_id, [''] || list(text ORDER BY row_no) || [''] FROM grows GROUP BY img_id HAVING NOT bool_or(is_numeric)) "
+    "SELECT img_id, array_to_string(l, chr(10)) AS md FROM md"
+)
+def ocr_tables(spark, sf):
+    return OCR.build_tables(Y.ocr_words(spark, sf)).select("img_id", F.array_join("md", "\n").alias("md"))
+
+
+# --- extensions: relational and streaming categories that the reference has not -----------
+
+
+@query("SELECT lang, source, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY ROLLUP (lang, source)")
+def lang_source_rollup(spark, sf):
+    return table(spark, sf, "documents").rollup("lang", "source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+
+
+@query("SELECT lang, doc_id, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) <= 10")
+def topk_docs_per_lang(spark, sf):
+    """Top ten by length per language; combined per task before the shuffle (the limit is the feature)."""
+    one = F.struct((-F.col("n_chars")).alias("k"), "doc_id")
+    local = table(spark, sf, "documents").where("lang is not null").groupBy("lang", F.spark_partition_id().alias("p")).agg(F.slice(F.array_sort(F.collect_list(one)), 1, 10).alias("s"))
+    both = local.groupBy("lang").agg(F.slice(F.array_sort(F.flatten(F.collect_list("s"))), 1, 10).alias("s"))
+    return both.select("lang", F.explode("s").alias("e")).select("lang", "e.doc_id", (-F.col("e.k")).alias("n_chars"))
+
+
+@query("SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
+def distinct_users(spark, sf):
+    return table(spark, sf, "events").groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+
+
+@query()
+def distinct_users_approx(spark, sf):
+    return table(spark, sf, "events").groupBy("event_type").agg(F.approx_count_distinct("user_id").alias("users"))
+
+
+@query("SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
+def daily_event_counts(spark, sf):
+    return table(spark, sf, "events").groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("n"))
+
+
+@query(
+    "WITH e AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 30 MINUTE OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), "
+    "s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, sid"
+)
+def event_sessions(spark, sf):
+    rows = table(spark, sf, "events").groupBy("user_id", F.session_window("ts", "30 minutes").alias("w")).agg(F.count("*").alias("n"))
+    return rows.select("user_id", F.col("w.start").alias("start"), "n")
+
+
+@query("SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def stream_daily_counts(spark, sf):
+    """The same counts through a stream that is drained once."""
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/lexstrata-stream"
+    events = incremental.stream_parquet(spark, sf, "events", table(spark, sf, "events").schema)
+    name = f"counts_{uuid.uuid4().hex}"
+    return incremental.run_once(incremental.tumbling_counts(events), name, f"{root}/{name}").select("start", "event_type", "n")
