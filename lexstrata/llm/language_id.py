@@ -17,8 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import kernels as K
+from .scratch import bounded_batches
 
 UND = "und"
 #: Bytes that the broadcast matrix may have.
@@ -98,6 +100,7 @@ class Model:
 
 def train(labelled: DataFrame, max_n: int = 3, buckets: int = 1 << 15, alpha: float = 0.5) -> Model:
     """Fit on every row of (label, text); rows without a label or text are left out."""
+    bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.col("label").cast("string").alias("label"), F.col("text").cast("string").alias("text")).where("label is not null and text is not null")
     sums = rows.mapInArrow(_counts(max_n, buckets), "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     priors = {r[0]: r[1] for r in rows.groupBy("label").count().limit(1 + MAX_MODEL_BYTES // (4 * buckets)).collect()}
@@ -115,11 +118,13 @@ def train(labelled: DataFrame, max_n: int = 3, buckets: int = 1 << 15, alpha: fl
 
 
 def _predict(shared, max_n: int, buckets: int):
+    """(row, text, letters) -> (row, lang_pred, score); row goes through as it is."""
+
     def run(batches):
         model = Model(*shared.value)
         for batch in batches:
             for begin, end, data, offsets in K.pieces(batch.column(1)):
-                ids = batch.column(0).slice(begin, end - begin)
+                row = batch.column(0).slice(begin, end - begin)
                 letters = batch.column(2).slice(begin, end - begin).to_numpy(zero_copy_only=False).astype(bool)
                 if model.labels:
                     joint = model.score(data, offsets, max_n, buckets)
@@ -128,23 +133,30 @@ def _predict(shared, max_n: int, buckets: int):
                     names = np.array([*model.labels, UND], object)[np.where(letters, best, len(model.labels))]
                     score = np.where(letters, score, 0.0)
                 else:
-                    names, score = np.array([UND] * len(ids), object), np.zeros(len(ids))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(names, pa.string()), pa.array(score)], names=["row", "lang_pred", "score"])
+                    names, score = np.array([UND] * len(row), object), np.zeros(len(row))
+                yield pa.RecordBatch.from_arrays([row, pa.array(names, pa.string()), pa.array(score)], names=["row", "lang_pred", "score"])
 
     return run
 
 
-
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
+def annotate(docs: DataFrame, model: Model, row: Column, max_n: int = 3, buckets: int = 1 << 15) -> DataFrame:
+    """Per document: row (any column of ``docs``, such as a struct of all), lang_pred, score."""
+    bounded_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast((model.labels, model.logp, model.prior))
+    text = F.col("text").cast("string")
+    rows = docs.select(row.alias("row"), text.alias("text"), has_letter(text).alias("letters"))
+    kind = rows.schema["row"].dataType
+    schema = T.StructType([T.StructField("row", kind), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(_predict(shared, max_n, buckets), schema)
+
+
 def predict(docs: DataFrame, model: Model, max_n: int = 3, buckets: int = 1 << 15) -> DataFrame:
     """Per document: doc_id, lang_pred, score (posterior probability of lang_pred)."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.labels, model.logp, model.prior))
-    rows = docs.select(F.col("doc_id").cast("long").alias("row"), F.col("text").cast("string").alias("text"))
-    rows = rows.withColumn("letters", has_letter(F.col("text")))
-    return rows.mapInArrow(_predict(shared, max_n, buckets), "row long, lang_pred string, score double").withColumnRenamed("row", "doc_id")
+    return annotate(docs, model, F.col("doc_id").cast("long"), max_n, buckets).withColumnRenamed("row", "doc_id")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -24,6 +24,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of two megabytes at most, so that long texts don't pile up in workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
+
+
 class Scratch:
     """Tables written by one operator run, each under a name of its own."""
 
