@@ -23,8 +23,8 @@ def write_catalog(catalog: DataFrame, path: str, single_array: bool = False) ->
 
 
 def write_documents(rendered: DataFrame, path: str) -> None:
-    """One folder per document (md_slug) with its text; an executor writes its own documents."""
-    rendered.select("md_slug", F.col("content").alias("value")).repartition("md_slug").write.mode("overwrite").option("lineSep", "").partitionBy("md_slug").text(path)
+    """One folder per document (md_slug) with its text (and a final newline); an executor writes its own documents."""
+    rendered.select("md_slug", F.col("content").alias("value")).repartition("md_slug").write.mode("overwrite").partitionBy("md_slug").text(path)
 
 
 def index_lines(index: DataFrame, today: str, done: int, total: int) -> DataFrame:
