@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language_id, license_scan, lm_score, packing, pii, quality, substring_dedup, url_filter
+from . import decontaminate, jaccard_join, language_id, license_scan, lm_score, oracles, packing, pii, quality, substring_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,4 +107,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.ORACLES)
