@@ -5,7 +5,9 @@ n-grams (orders 1 to ``order``) and adds them up, so what is shuffled is one row
 n-gram and block, partitioned by the n-gram's hash; there the rows of an n-gram meet and
 get its corpus count.  A hot n-gram has one row per block at most, so no key is skewed.
 Counts that differ from the block's own go back to the block, are joined to its n-grams,
-and the logarithms are summed per document.
+and the logarithms are summed per document.  N-grams are counted in ``rounds`` ranges of
+their hash, and blocks scored in as many groups, one after the other: only one range's or
+group's rows are on disk at a time.
 
 A document's own occurrences are taken off all counts (else every n-gram would have been
 seen): S(w | context) = c(context w) / c(context) where that is seen, else
@@ -19,6 +21,7 @@ count as other documents; further columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -53,16 +56,19 @@ class Grams:
             at = np.where(self.ok[k], np.arange(self.n) - (k - 1), 0)
             self.hash[k] = h.at(at, min(k, self.n)) if self.n else self.words
 
-    def counted(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(self.hash[k][self.ok[k]], return_counts=True)
+    def counted(self, k: int, rounds: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
+        """N-grams of one hash range and how often they are here."""
+        own = self.hash[k][self.ok[k]]
+        return np.unique(own[own % np.uint64(rounds) == turn], return_counts=True)
 
 
-def _count_block(order: int):
+def _count_block(order: int, rounds: int, turn: int):
     def run(table: pa.Table) -> pa.Table:
         g = Grams(table.column("text"), order)
-        both = [g.counted(k) for k in range(1, order + 1)]
-        h = np.concatenate([[np.uint64(_TOTAL)], *(a for a, _ in both)])
-        n = np.concatenate([[g.n], *(b for _, b in both)])
+        both = [g.counted(k, rounds, turn) for k in range(1, order + 1)]
+        first = turn == 0
+        h = np.concatenate([np.full(int(first), _TOTAL, np.uint64), *(a for a, _ in both)])
+        n = np.concatenate([np.full(int(first), g.n, np.int64), *(b for _, b in both)])
         block = np.full(len(h), table.column("block")[0].as_py(), np.int32)
         return pa.table({"h": K.signed(h), "block": pa.array(block), "n": pa.array(n.astype(np.int64))})
 
@@ -114,16 +120,25 @@ def _score_block(order: int, discount: float):
     return run
 
 
-def score(docs: DataFrame, order: int = 2, discount: float = 0.4, block_bytes: int = 8 << 20) -> DataFrame:
+def score(docs: DataFrame, order: int = 2, discount: float = 0.4, block_bytes: int = 4 << 20, rounds: int = 2) -> DataFrame:
     """Per document: doc_id, n_words, n_top (words whose longest n-gram is known), log_score, mean_log_score."""
     tmp = Scratch(docs.sparkSession, "lm")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-size // block_bytes)))).cast("int"))
-    rows = docs.groupBy("block").applyInArrow(_count_block(order), "h long, block int, n long")
-    rows = rows.withColumn("total", F.sum("n").over(Window.partitionBy("h")))
-    shared = tmp.save(rows.where("total > n").select("block", "h", "total"), "counts")
-    return docs.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_score_block(order, discount), "doc_id long, n_words long, n_top long, log_score double, mean_log_score double")
+    counts, scored = [], []
+    for turn in range(rounds):
+        rows = docs.groupBy("block").applyInArrow(_count_block(order, rounds, turn), "h long, block int, n long")
+        rows = rows.withColumn("total", F.sum("n").over(Window.partitionBy("h")))
+        counts.append(tmp.save(rows.where("total > n").select("block", "h", "total"), f"counts-{turn}"))
+    shared = reduce(DataFrame.union, counts)
+    for turn in range(rounds):
+        group = F.col("block") % rounds == turn
+        both = docs.where(group).groupBy("block").cogroup(shared.where(group).groupBy("block"))
+        out = both.applyInArrow(_score_block(order, discount), "doc_id long, n_words long, n_top long, log_score double, mean_log_score double")
+        scored.append(tmp.save(out, f"scores-{turn}"))
+    tmp.drop(*(f"counts-{turn}" for turn in range(rounds)))
+    return reduce(DataFrame.union, scored)
 
 
 K.ship(__name__)
