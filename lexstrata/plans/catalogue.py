@@ -15,6 +15,7 @@ from ..functions import patterns as P
 from ..functions import text as T
 from ..operators import catalog as C
 from ..operators import lines as L
+from ..operators import relational as R
 from ..operators import structure as S
 from ..operators import tables as OCR
 from ..sources import sinks
@@ -448,3 +449,52 @@ def stream_daily_counts(spark, sf):
     events = incremental.stream_parquet(spark, sf, "events", table(spark, sf, "events").schema)
     name = f"counts_{uuid.uuid4().hex}"
     return incremental.run_once(incremental.tumbling_counts(events), name, f"{root}/{name}").select("start", "event_type", "n")
+
+
+@query(
+    "SELECT o_orderkey, o_custkey, o_orderdate, event_type_asof FROM (SELECT o.*, e.event_type AS event_type_asof FROM (SELECT o_orderkey, o_custkey, o_orderdate FROM orders) o "
+    "ASOF LEFT JOIN (SELECT user_id, ts + INTERVAL '-28 years' AS ts, max(event_type) AS event_type FROM events GROUP BY ALL) e ON o.o_custkey = e.user_id AND o.o_orderdate >= e.ts)"
+)
+def asof_orders_events(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    events = table(spark, sf, "events").select(F.col("user_id").alias("o_custkey"), (F.col("ts") - F.expr("INTERVAL '28' YEAR")).alias("ts"), "event_type")
+    events = events.groupBy("o_custkey", "ts").agg(F.max("event_type").alias("event_type"))
+    return R.asof_join(orders, events, "o_custkey", "o_orderdate", "ts", "event_type")
+
+
+@query("SELECT p_partkey, s_suppkey FROM part, supplier WHERE p_retailprice >= s_acctbal AND p_retailprice < s_acctbal + 50")
+def range_parts_suppliers(spark, sf):
+    points = table(spark, sf, "part").select("p_partkey", "p_retailprice")
+    ranges = table(spark, sf, "supplier").select("s_suppkey", F.col("s_acctbal").alias("lo"), (F.col("s_acctbal") + 50).alias("hi"))
+    return R.range_join(points, ranges, "p_retailprice", "lo", "hi", 50.0).select("p_partkey", "s_suppkey")
+
+
+@query("SELECT event_type, count(DISTINCT user_id) AS n, sum(DISTINCT user_id)::BIGINT AS total FROM events GROUP BY event_type")
+def salted_distinct_sum(spark, sf):
+    return R.salted_sum(table(spark, sf, "events").select("event_type", "user_id"), "event_type", "user_id")
+
+
+@query("SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_linenumber)::BIGINT AS lines FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)")
+def returnflag_cube(spark, sf):
+    return table(spark, sf, "lineitem").cube("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.sum("l_linenumber").alias("lines"))
+
+
+@query("SELECT c_custkey AS k FROM customer INTERSECT SELECT o_custkey FROM orders")
+def customers_with_orders(spark, sf):
+    return table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).intersect(table(spark, sf, "orders").select(F.col("o_custkey").alias("k")))
+
+
+@query("SELECT c_custkey AS k FROM customer EXCEPT ALL SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000")
+def customers_without_large_orders(spark, sf):
+    return table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).exceptAll(table(spark, sf, "orders").where("o_orderstatus = 'F' and o_totalprice > 100000").select(F.col("o_custkey").alias("k")).distinct())
+
+
+@query(
+    "SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS qty, round(sum(l_extendedprice * (1 - l_discount)), 0) AS revenue "
+    "FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY ALL"
+)
+def pricing_summary(spark, sf):
+    rows = table(spark, sf, "lineitem").where("l_shipdate <= timestamp_ntz'1998-09-02 00:00:00'")
+    return rows.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 0).alias("revenue")
+    )
