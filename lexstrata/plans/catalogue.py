@@ -462,11 +462,11 @@ def asof_orders_events(spark, sf):
     return R.asof_join(orders, events, "o_custkey", "o_orderdate", "ts", "event_type")
 
 
-@query("SELECT p_partkey, s_suppkey FROM part, supplier WHERE p_retailprice >= s_acctbal AND p_retailprice < s_acctbal + 50")
+@query("SELECT p_partkey, s_suppkey FROM part, supplier WHERE p_retailprice >= s_acctbal AND p_retailprice < s_acctbal + 500")
 def range_parts_suppliers(spark, sf):
     points = table(spark, sf, "part").select("p_partkey", "p_retailprice")
-    ranges = table(spark, sf, "supplier").select("s_suppkey", F.col("s_acctbal").alias("lo"), (F.col("s_acctbal") + 50).alias("hi"))
-    return R.range_join(points, ranges, "p_retailprice", "lo", "hi", 50.0).select("p_partkey", "s_suppkey")
+    ranges = table(spark, sf, "supplier").select("s_suppkey", F.col("s_acctbal").alias("lo"), (F.col("s_acctbal") + 500).alias("hi"))
+    return R.range_join(points, ranges, "p_retailprice", "lo", "hi", 500.0).select("p_partkey", "s_suppkey")
 
 
 @query("SELECT event_type, count(DISTINCT user_id) AS n, sum(DISTINCT user_id)::BIGINT AS total FROM events GROUP BY event_type")
