@@ -4,7 +4,7 @@ Documents are sets of distinct word shingles; two link at Jaccard >= ``percent``
 
 1. Equal sets are one class (two set hashes and the size); its smallest doc_id leads it.
 2. A first, cheap round links near copies to a common leader: leaders of equal min-hash
-   values that agree on most of sixteen, verified exactly.  It decides nothing alone; it
+   values that agree on most of twelve, verified exactly.  It decides nothing alone; it
    only lets the exact round below skip pairs that are connected already.
 3. Exact candidates.  Order all shingles by (frequent or not, hash).  Two linked sets
    share a shingle among the first n - ceil(n * percent / 100) + 1 of each, whatever the
@@ -15,7 +15,9 @@ Documents are sets of distinct word shingles; two link at Jaccard >= ``percent``
    together; a pair of nodes goes when its size ranges exclude a link or when common
    bits plus lost bits cannot reach the overlap that the smallest sizes need.  Blocks
    over ``block_rows`` are dealt by size band and hash to pairs of parts, the top level
-   of the tree, of which those with incompatible size ranges are never made.
+   of the tree, of which those with incompatible size ranges are never made.  The pairs
+   left are counted over their blocks: that is how many prefix shingles they share, and
+   with all of a set's rest it must still reach the overlap.
 5. What is left is verified on whole texts, and components are taken over all links.
 
 Neither the pairs of a group of copies nor a whole group is ever gathered: blocks are
@@ -38,7 +40,7 @@ from . import kernels as K
 from .components import connected
 from .scratch import Scratch
 
-MINHASHES = 16
+MINHASHES = 12
 BITS = 1024
 #: Frequent shingles at most: each is in more than a 2**-18 part of all prefix entries.
 FREQUENT_LIMIT = 1 << 18
@@ -57,8 +59,9 @@ class Sets:
         short = size < k
         ok &= ~short | (i == w.first[row])
         row, token = row[ok], h.at(i[ok], size[ok])
-        order = np.lexsort((token, row))
-        row, token = row[order], token[order]
+        edge = np.searchsorted(row, np.arange(w.rows + 1)).tolist()
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            token[a:b].sort()
         new = np.ones(len(row), bool)
         new[1:] = (row[1:] != row[:-1]) | (token[1:] != token[:-1])
         self.row, self.token, self.rows = row[new], token[new], w.rows
@@ -89,7 +92,7 @@ def _summaries(k: int):
                 bits = np.zeros((s.rows, BITS // 8), np.uint8)
                 if len(full):
                     for j in range(MINHASHES):
-                        mh[full, j] = np.minimum.reduceat(K.mix(s.token + np.uint64(0x51ED2701 * (j + 1))), s.first[full])
+                        mh[full, j] = np.minimum.reduceat(s.token * np.uint64(0x9E3779B97F4A7C15 + 0x51ED2701 * 2 * j), s.first[full])
                     bit = K.mix(s.token + np.uint64(0xB175)) % np.uint64(BITS)
                     flat = np.zeros(s.rows * BITS, bool)
                     flat[s.row * BITS + bit.astype(np.int64)] = True
@@ -101,23 +104,69 @@ def _summaries(k: int):
     return run
 
 
+def _in_prefix(s: Sets, percent: int, late: np.ndarray, seen: np.ndarray | None) -> np.ndarray:
+    """Mask of the shingles in the prefix of their set; those in ``late`` (sorted) come last.
+
+    ``seen``: what the low bits of late shingles may be, which spares most lookups.
+    """
+    length = _prefix(s.n, percent)[s.row]
+    place = np.arange(len(s.row)) - s.first[s.row]
+    if not len(late):
+        return place < length
+    hot = np.zeros(len(s.row), bool)
+    maybe = np.flatnonzero(seen[s.token & np.uint64(len(seen) - 1)])
+    at = np.minimum(np.searchsorted(late, s.token[maybe]), len(late) - 1)
+    hot[maybe] = late[at] == s.token[maybe]
+    before = np.zeros(len(hot) + 1, np.int64)
+    np.cumsum(hot, out=before[1:])
+    hot_before = before[:-1] - before[s.first[s.row]]
+    cool = s.n[s.row] - (before[s.first[s.row + 1]] - before[s.first[s.row]])
+    return np.where(hot, cool + hot_before, place - hot_before) < length
+
+
+def _frequent(k: int, percent: int, chunk: int = 1 << 20):
+    """Documents -> (token, count) of prefix shingles that a task meets twice or more.
+
+    A shingle in more prefixes than there are chunks of rows is met twice in one of them.
+    """
+
+    def run(batches):
+        held, size = [], 0
+
+        def flush():
+            token, count = np.unique(np.concatenate(held), return_counts=True)
+            again = count > 1
+            return pa.RecordBatch.from_arrays([K.signed(token[again]), pa.array(count[again].astype(np.int64))], names=["token", "count"])
+
+        for batch in batches:
+            for _, _, data, offsets in K.pieces(batch.column(0)):
+                s = Sets(data, offsets, k)
+                own = s.token[_in_prefix(s, percent, s.token[:0], None)]
+                held.append(own)
+                size += len(own)
+                if size >= chunk:
+                    yield flush()
+                    held, size = [], 0
+        if size:
+            yield flush()
+
+    return run
+
+
 def _prefixes(k: int, percent: int, frequent):
     """Documents -> (token, s1) for the prefix of each set; frequent (sorted hashes) go last."""
 
     def run(batches):
         late = frequent.value
+        seen = np.zeros(1 << 22, bool)
+        seen[late & np.uint64(len(seen) - 1)] = True
         for batch in batches:
             for _, _, data, offsets in K.pieces(batch.column(0)):
                 s = Sets(data, offsets, k)
                 if not len(s.row):
                     continue
-                row, token = s.row, s.token
-                if len(late):
-                    at = np.minimum(np.searchsorted(late, token), len(late) - 1)
-                    order = np.argsort(row * 2 + (late[at] == token), kind="stable")  # keeps hash order
-                    row, token = row[order], token[order]
-                keep = np.arange(len(row)) - s.first[row] < _prefix(s.n, percent)[row]
-                yield pa.RecordBatch.from_arrays([K.signed(token[keep]), K.signed(s.signature(1)[row[keep]])], names=["token", "s1"])
+                keep = _in_prefix(s, percent, late, seen)
+                yield pa.RecordBatch.from_arrays([K.signed(s.token[keep]), K.signed(s.signature(1)[s.row[keep]])], names=["token", "s1"])
 
     return run
 
@@ -201,7 +250,7 @@ def _children(i, j, below_x, below_y):
 
 
 def _block_pairs(percent: int):
-    """Rows sorted by (token, part a, part b) -> candidate pairs (a, b), not connected yet.
+    """Rows sorted by (token, part a, part b) -> candidate pairs (a, b), once per block, not connected yet.
 
     A block's rows carry side 0 (in part a), 1 (in part b) or 2 (both are the same part).
     """
@@ -244,8 +293,8 @@ def _block_pairs(percent: int):
             ok = comp[i] != comp[j]
             out.append((i[ok], j[ok]))
         i, j = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 2
-        both = np.unique(np.stack([np.minimum(lead[i], lead[j]), np.maximum(lead[i], lead[j])]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+        low, high = np.minimum(lead[i], lead[j]), np.maximum(lead[i], lead[j])
+        return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
 
     def run(batches):
         held = None
@@ -267,9 +316,9 @@ def _block_pairs(percent: int):
     return run
 
 
-def _blocks(posts: DataFrame, block_rows: int) -> DataFrame:
+def _blocks(posts: DataFrame, block_rows: int, percent: int) -> DataFrame:
     """Deal blocks over ``block_rows`` to pairs of parts; side says in which a row is."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))).cast("int")  # linked sets are at most one band apart
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("int")  # linked sets: one band apart at most
     parts = F.ceil(F.col("m") / block_rows).cast("int")
     own = F.col("band") * F.lit(1 << 20) + F.pmod(F.xxhash64("leader"), F.col("parts")).cast("int")
     small = posts.where(F.col("m") <= block_rows).select("*", F.lit(0).alias("pa"), F.lit(0).alias("pb"), F.lit(2).alias("side"))
@@ -311,7 +360,7 @@ def link_near_copies(docs: DataFrame, k: int = 5, percent: int = 75, block_rows:
     near = tmp.save(keyed.join(heads, ["j", "h"]).where("leader != head").select("leader", "head").distinct(), "near")
     agree = F.aggregate(F.zip_with("mh", "mh2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)
     near = near.join(classes.select("leader", "mh"), "leader").join(classes.select(F.col("leader").alias("head"), F.col("mh").alias("mh2")), "head")
-    near = tmp.save(near.where(agree >= 10).select(F.col("leader").alias("a"), F.col("head").alias("b")), "near-pairs")
+    near = tmp.save(near.where(agree >= 7).select(F.col("leader").alias("a"), F.col("head").alias("b")), "near-pairs")
     edges = verified(near, "edges-1")
     labels = connected(edges, tmp, "cc1")
     known = classes.join(labels.withColumnRenamed("node", "leader"), "leader", "left").withColumn("component", F.coalesce("component", "leader"))
@@ -319,11 +368,10 @@ def link_near_copies(docs: DataFrame, k: int = 5, percent: int = 75, block_rows:
     tmp.drop("minhashes", "heads", "near", "near-pairs")
 
     # exact candidates: prefix shingles met by sets of different components
-    none = spark.sparkContext.broadcast(np.zeros(0, np.uint64))
-    rows = docs.select("text").mapInArrow(_prefixes(k, percent, none), "token long, s1 long")
     total = sums.where("n > 0").agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
     often = max(64, total // FREQUENT_LIMIT)
-    hot = rows.groupBy("token").count().where(F.col("count") > often).select("token")
+    hot = docs.select("text").mapInArrow(_frequent(k, percent), "token long, count long").groupBy("token").agg(F.sum("count").alias("n"))
+    hot = hot.where(F.col("n") > often).select("token")
     hot = spark.sparkContext.broadcast(np.sort(K.unsigned(hot.toArrow().column("token"))))  # FREQUENT_LIMIT entries at most
     rows = tmp.save(docs.select("text").mapInArrow(_prefixes(k, percent, hot), "token long, s1 long"), "prefixes")
     met = tmp.save(rows.groupBy("token").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x != y").select("token"), "met")
@@ -334,9 +382,15 @@ def link_near_copies(docs: DataFrame, k: int = 5, percent: int = 75, block_rows:
     met = tmp.save(met, "open")
     posts = tmp.save(posts.join(met, "token"), "open-posts")
     posts = posts.join(known.select("leader", "n", "bits"), "leader")
-    blocks = _blocks(posts, block_rows).select("token", "pa", "pb", "side", "leader", "component", "n", "bits")
+    blocks = _blocks(posts, block_rows, percent).select("token", "pa", "pb", "side", "leader", "component", "n", "bits")
     blocks = blocks.repartition("token", "pa", "pb").sortWithinPartitions("token", "pa", "pb")
-    pairs = tmp.save(blocks.mapInArrow(_block_pairs(percent), "a long, b long").distinct(), "pairs")
+    # as many blocks as shingles common to both prefixes; beyond those, one set's rest may be common
+    pairs = blocks.mapInArrow(_block_pairs(percent), "a long, b long").groupBy("a", "b").agg(F.count("*").alias("common"))
+    size = known.select("leader", "n", (F.ceil(F.col("n") * percent / 100) - 1).alias("rest"))
+    for end in ("a", "b"):
+        pairs = pairs.join(size.select(F.col("leader").alias(end), F.col("n").alias(f"n_{end}"), F.col("rest").alias(f"rest_{end}")), end)
+    bound = (F.col("common") + F.greatest("rest_a", "rest_b")) * (100 + percent)
+    pairs = tmp.save(pairs.where(bound >= (F.col("n_a") + F.col("n_b")) * percent).select("a", "b"), "pairs")
     edges = edges.union(verified(pairs, "edges-2"))
     labels = connected(edges, tmp, "cc2")
     final = classes.join(labels.withColumnRenamed("node", "leader"), "leader", "left").select("s1", "s2", "n", F.coalesce("component", "leader").alias("component"))
