@@ -1,6 +1,6 @@
 """Vectorised text kernels over Arrow string buffers (numpy only, no per-word Python).
 
-A *piece* is a slice of an Arrow batch of at most about two megabytes of text (one
+A *piece* is a slice of an Arrow batch of at most about half a megabyte of text (one
 longer document is a piece of its own), so a worker's temporaries stay bounded
 whatever the batch size.  Hashes are 64-bit polynomials modulo 2**64 with a fixed
 table of byte values, finished by an avalanche mix; wherever equality of texts is
@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 512 << 10
 _U = np.uint64
 _MAX = _U(0xFFFFFFFFFFFFFFFF)
 _POWERS: dict = {}
