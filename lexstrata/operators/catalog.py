@@ -100,10 +100,10 @@ def coverage_summary(catalog: DataFrame, existing: DataFrame, key: str = "md_slu
     ``strict`` counts catalog entries that have an output, else all outputs.
     """
     outputs = existing.select(key).distinct()
-    total = catalog.agg(F.count("*").alias("total"))
-    done = (catalog.join(outputs, key, "left_semi") if strict else outputs).agg(F.count("*").alias("done"))
-    both = total.join(F.broadcast(done), how="full")  # one row each
-    return both.select("total", "done", F.expr("done * 100 div nullif(total, 0)").alias("pct"))
+    counted = catalog.join(outputs, key, "left_semi") if strict else outputs
+    both = catalog.select(F.lit(1).alias("t"), F.lit(0).alias("d")).union(counted.select(F.lit(0), F.lit(1)))
+    sums = both.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("total"), F.coalesce(F.sum("d"), F.lit(0)).alias("done"))
+    return sums.select("total", "done", F.expr("done * 100 div nullif(total, 0)").alias("pct"))
 
 
 def without_output(catalog: DataFrame, existing: DataFrame, key: str = "md_slug", limit: int = 0) -> DataFrame:
@@ -124,9 +124,8 @@ def listing(catalog: DataFrame) -> DataFrame:
 
 def progress_labels(entries: DataFrame, order: str) -> DataFrame:
     """Adds ``label``: [i/n], counted from one in ``order``.  For reports: it needs one global order."""
-    numbered = entries.withColumn("_i", F.row_number().over(Window.orderBy(order)))
-    total = entries.agg(F.count("*").alias("_n"))
-    return numbered.join(F.broadcast(total), how="full").withColumn("label", F.format_string("[%d/%d]", "_i", "_n")).drop("_i", "_n")
+    i, n = F.row_number().over(Window.orderBy(order)), F.count("*").over(Window.partitionBy())
+    return entries.withColumn("label", F.format_string("[%d/%d]", i, n))
 
 
 def status_counts(results: DataFrame, status: str = "status") -> DataFrame:

@@ -146,16 +146,25 @@ def pieces(kinds: DataFrame, strict: bool = False) -> DataFrame:
     return rows.withColumn("para_no", F.sum(F.col("breaks").cast("int")).over(w))
 
 
+def _marked() -> Column:
+    """A piece, with a mark in front where it is glued to a hyphen."""
+    return F.when(F.col("glued"), F.concat(F.lit(JOIN), F.col("piece"))).otherwise(F.col("piece"))
+
+
+def _rejoin(marked: Column) -> Column:
+    text = F.array_join(marked, " ")
+    return strip(F.replace(F.replace(text, F.lit(f"- {JOIN}"), F.lit("")), F.lit(JOIN), F.lit("")))
+
+
 def paragraphs(parts: DataFrame) -> DataFrame:
     """(doc_id, para_no, line_no, sub_no, kind, text): re-joined paragraphs.
 
     A hyphen that the next line glued on is taken out; other lines join with one space.
     """
     own = parts.where("piece != ''").groupBy("doc_id", "para_no")
-    one = F.struct("line_no", "sub_no", F.when(F.col("glued"), F.concat(F.lit(JOIN), F.col("piece"))).otherwise(F.col("piece")).alias("piece"), "kind")
+    one = F.struct("line_no", "sub_no", _marked().alias("piece"), "kind")
     rows = own.agg(F.array_sort(F.collect_list(one)).alias("s"))
-    text = F.array_join(F.transform("s", lambda e: e["piece"]), " ")
-    text = strip(F.replace(F.replace(text, F.lit(f"- {JOIN}"), F.lit("")), F.lit(JOIN), F.lit("")))
+    text = _rejoin(F.transform("s", lambda e: e["piece"]))
     head = F.get("s", F.lit(0))
     return rows.select("doc_id", "para_no", head["line_no"].alias("line_no"), head["sub_no"].alias("sub_no"), head["kind"].alias("kind"), text.alias("text"))
 
@@ -167,7 +176,12 @@ def split_clauses(c: Column) -> Column:
 
 
 def markdown(lines: DataFrame, strict: bool = False) -> DataFrame:
-    """Whole documents as Markdown lines: (doc_id, out_no, kind, text), without the title block."""
+    """Whole documents as Markdown lines: (doc_id, out_no, kind, text), without the title block.
+
+    Rows from one paragraph's start to the next are one group: what stands above the
+    paragraph, the paragraph, then lines of rows that add nothing to it.  Grouping and
+    numbering keep the partitioning by document.
+    """
     parts = pieces(classify(L.drop_running_headers(lines, strict), strict), strict)
     w = _order()
     kind, x, heading, body = F.col("kind"), F.col("x"), F.col("heading"), F.col("body")
@@ -175,23 +189,30 @@ def markdown(lines: DataFrame, strict: bool = False) -> DataFrame:
     part = F.concat(F.lit("## "), heading, F.when(body != "", F.concat(F.lit(" — "), body)).otherwise(""), name)
     blank = F.lit("")
     none = F.array().cast("array<string>")
-    before = (
+    own = (
         F.when(kind == "blank", F.array(blank))
         .when(kind == "quote", F.array(blank, x, blank))
-        .when(kind == "table", F.array(x))
+        .when(kind == "table", _spread(split_clauses(x)))  # table rows can hold clauses, too
         .when(kind == "transitory", F.array(blank, F.concat(F.lit("## "), heading), blank))
         .when(kind.isin("article", "ordinal_article"), F.array(blank, F.concat(F.lit("### "), heading)))
         .when(kind == "part", F.array(blank, part))
         .when(kind.isin("fraction", "clause") & F.col("open_before"), F.array(blank))
         .otherwise(none)
     )
-    heads = parts.select("doc_id", "line_no", "sub_no", F.lit(0).alias("slot"), "kind", before.alias("out")).where(F.size("out") > 0)
-    paras = paragraphs(parts).select("doc_id", "line_no", "sub_no", F.lit(1).alias("slot"), "kind", _spread(split_clauses(F.col("text"))).alias("out"))
-    # table rows can hold clauses, too
-    heads = heads.withColumn("out", F.when(F.col("kind") == "table", _spread(split_clauses(F.get("out", F.lit(0))))).otherwise(F.col("out")))
-    rows = heads.unionByName(paras).select("doc_id", "line_no", "sub_no", "slot", "kind", F.posexplode("out").alias("n", "text"))
-    order = Window.partitionBy("doc_id").orderBy("line_no", "sub_no", "slot", "n")
-    return rows.select("doc_id", F.row_number().over(order).alias("out_no"), "kind", "text")
+    one = F.struct("line_no", "sub_no", "kind", own.alias("own"), "breaks", _marked().alias("piece"))
+    groups = parts.select("doc_id", "para_no", one.alias("e")).groupBy("doc_id", "para_no").agg(F.array_sort(F.collect_list("e")).alias("s"))
+    first = F.get("s", F.lit(0))
+    opens = F.filter("s", lambda e: e["breaks"])
+    said = F.filter("s", lambda e: e["piece"] != "")
+    labelled = lambda texts, k: F.transform(texts, lambda v: F.struct(k.alias("kind"), v.alias("text")))
+    rest = F.when(F.size(opens) > 0, F.slice("s", 2, F.greatest(F.size("s") - 1, F.lit(0)))).otherwise(F.col("s"))
+    para = _spread(split_clauses(_rejoin(F.transform(said, lambda e: e["piece"]))))
+    empty = F.array().cast("array<struct<kind:string,text:string>>")
+    top = F.when(F.size(opens) > 0, F.concat(labelled(first["own"], first["kind"]), labelled(para, first["kind"]))).otherwise(empty)
+    out = F.concat(top, F.flatten(F.transform(rest, lambda e: labelled(e["own"], e["kind"]))))
+    rows = groups.select("doc_id", "para_no", F.posexplode(out).alias("n", "o"))
+    order = Window.partitionBy("doc_id").orderBy("para_no", "n")
+    return rows.select("doc_id", F.row_number().over(order).alias("out_no"), "o.kind", "o.text")
 
 
 def _spread(a: Column) -> Column:
