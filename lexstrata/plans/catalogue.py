@@ -274,6 +274,43 @@ def roman_numerals(spark, sf):
     return rows.withColumn("valid", T.is_roman(F.col("s")))
 
 
+_SQL_PAGE_LINE = O.strip(r"regexp_replace(text, '\s*\d{1,4}\s+de\s+7\s*', ' ', 'g')")
+
+
+@query(
+    "WITH p AS (SELECT source AS doc_id, doc_id AS page, unnest(range(len(l))) AS n, unnest(l) AS text FROM (SELECT doc_id, source, string_split(text || chr(10) || 'Secretaría General' || chr(10) || ' 3 de 7 fin', chr(10)) AS l FROM documents)), "
+    f"c AS (SELECT doc_id, page, n, {_SQL_PAGE_LINE} AS text FROM p), k AS (SELECT * FROM c WHERE text <> '' AND NOT ({_SQL_FIXED} OR {O.has('text', P.TITLE_LINE)} OR {O.has('text', P.REFORM_LINE)})) "
+    "SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page, n) - 1 AS INTEGER) AS line_no, text FROM k"
+)
+def page_lines(spark, sf):
+    """Sources as documents, documents as their pages."""
+    text = F.expr("text || chr(10) || 'Secretaría General' || chr(10) || ' 3 de 7 fin'")
+    pages = table(spark, sf, "documents").select(F.col("source").alias("doc_id"), F.col("doc_id").alias("page"), F.lit(0).alias("region"), F.lit(7).alias("total_pages"), text.alias("text"))
+    return L.page_lines(pages)
+
+
+def _boxes(spark, sf):
+    """A picture per line item on the page that is its order."""
+    x1, y1 = (F.col("l_quantity") * 8).alias("x1"), F.col("l_linenumber").cast("double") * 40
+    box = F.struct(F.lit(0.0).alias("x0"), x1, F.lit(0.0).alias("y0"), y1.alias("y1"), F.lit(None).cast("double").alias("top"), F.lit(None).cast("double").alias("bottom"))
+    return table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("page")).agg(F.collect_list(box).alias("images"), (F.max("l_partkey") % 2).alias("n_tables"))
+
+
+@query("SELECT l_orderkey AS page, max(l_partkey) % 2 AS n_tables, bool_or(l_quantity * 8 > 200 AND l_linenumber * 40 > 100) AND max(l_partkey) % 2 = 0 AS is_image_table FROM lineitem GROUP BY l_orderkey")
+def image_tables(spark, sf):
+    return L.image_tables(_boxes(spark, sf)).drop("images")
+
+
+@query(
+    "SELECT page, y, kind, CAST(row_number() OVER (PARTITION BY page ORDER BY y, kind <> 'text') AS INTEGER) AS order_no "
+    "FROM (SELECT DISTINCT l_orderkey AS page, l_linenumber // 2 AS y, CASE l_linenumber % 2 WHEN 0 THEN 'text' ELSE 'picture' END AS kind FROM lineitem)"
+)
+def region_order(spark, sf):
+    kind = F.when(F.col("l_linenumber") % 2 == 0, "text").otherwise("picture")
+    rows = table(spark, sf, "lineitem").select(F.lit(1).alias("doc_id"), F.col("l_orderkey").alias("page"), F.expr("l_linenumber div 2").alias("y"), kind.alias("kind")).distinct()
+    return L.interleave(rows).drop("doc_id")
+
+
 # --- structure --------------------------------------------------------------------------
 
 
