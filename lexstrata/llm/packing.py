@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from . import kernels as K
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long"
 #: Chunks between white space whose ids a worker remembers at most.
-CACHE_CHUNKS = 700_000
+CACHE_CHUNKS = 1_200_000
 _STATE: dict = {}
 
 
@@ -58,7 +59,7 @@ class ChunkTokenizer:
             data, offsets = _part_marks(data, offsets)
         whole, known = data.tobytes(), self.known
         split = [whole[a:b].split() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        chunks = {c for out in split for c in out}
+        chunks = set().union(*split)
         missing = list(chunks.difference(known))
         if len(known) + len(missing) > CACHE_CHUNKS:
             known.clear()
@@ -68,8 +69,10 @@ class ChunkTokenizer:
 
     def _learn(self, chunks: list[bytes]) -> None:
         """ASCII words are encoded together, since each ends where an id ends a word."""
-        plain = [c for c in chunks if c.isalpha()]
-        odd = [c for c in chunks if not c.isalpha()]
+        plain: list[bytes] = []
+        odd: list[bytes] = []
+        for chunk in chunks:
+            (plain if chunk.isalpha() else odd).append(chunk)
         for i in range(0, len(plain), 2000):
             part = plain[i : i + 2000]
             ids = np.array(self.encode([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
@@ -104,6 +107,7 @@ def _part_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.insert(data, at, 0x20), offsets + np.searchsorted(at, offsets)
 
 
+@lru_cache(1 << 16)
 def piece_lengths(n: int, longest: int) -> list[int]:
     """Full sequences, then the binary digits of the rest from the highest."""
     rest = n % longest
@@ -117,18 +121,20 @@ def _mapper(path: str, longest: int, closing: int):
             tokens = _STATE[path] = ChunkTokenizer(path)
         end = np.array([closing], "<u4").tobytes()
         for batch in batches:
-            for first, last, data, offsets in K.pieces(batch.column(1)):
-                rows: list[list] = [[], [], [], [], []]
-                doc_ids = batch.column(0).slice(first, last - first).to_pylist()
-                for doc_id, ids in zip(doc_ids, tokens.ids(data, offsets), strict=True):
-                    ids += end
-                    at = 0
-                    for length in piece_lengths(len(ids) // 4, longest):
-                        for col, v in zip(rows, (doc_id, at, length, ids[4 * at : 4 * (at + length)], len(ids) // 4), strict=True):
-                            col.append(v)
-                        at += length
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=["doc_id", "start", "length", "ids", "doc_tokens"])
+            for first, last, data, offsets in K.pieces(batch.column(1), 4 * K.PIECE_BYTES):
+                blobs = [ids + end for ids in tokens.ids(data, offsets)]
+                size = [len(b) // 4 for b in blobs]
+                lengths = [piece_lengths(n, longest) for n in size]
+                of = np.repeat(np.arange(last - first), [len(x) for x in lengths])
+                length = np.fromiter((n for x in lengths for n in x), np.int64, len(of))
+                total = np.array(size, np.int64)
+                before = np.cumsum(total) - total
+                start = np.cumsum(length) - length - before[of]
+                # the pieces of a document lie one after the other, so one buffer holds them all
+                bounds = np.concatenate([[0], 4 * np.cumsum(length)]).astype(np.int32)
+                ids = pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer(bounds), pa.py_buffer(b"".join(blobs))])
+                rows = pa.array(of)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first).take(rows), pa.array(start), pa.array(length), ids, pa.array(total[of])], names=["doc_id", "start", "length", "ids", "doc_tokens"])
 
     return run
 
