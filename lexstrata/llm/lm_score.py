@@ -112,7 +112,7 @@ def _score_block(order: int, discount: float):
                 logp = np.where(seen, fresh, np.where(ok, logp + math.log(discount), logp))
             seen_at[seen] = k
             before = others
-        sums = np.bincount(row.astype(np.int64), logp, minlength=len(g.count))
+        sums = np.bincount(row.astype(np.int64), logp, minlength=len(g.count)).astype(np.float64)
         top = np.bincount(row.astype(np.int64), seen_at == order, minlength=len(g.count)).astype(np.int64)
         mean = np.where(g.count > 0, sums / np.maximum(g.count, 1), np.nan)
         return pa.table({"doc_id": docs.column("doc_id"), "n_words": pa.array(g.count.astype(np.int64)), "n_top": pa.array(top), "log_score": pa.array(sums), "mean_log_score": pa.array(mean, from_pandas=True)})
