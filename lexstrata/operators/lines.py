@@ -14,6 +14,15 @@ def explode_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select("doc_id", F.posexplode(F.split(text, "\n")).alias("line_no", "text"))
 
 
+def lines_by_document(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``explode_lines`` on documents dealt by ``doc_id`` first.
+
+    What works per document after this needs no further shuffle, and whole texts are
+    fewer and smaller rows to shuffle than their lines.
+    """
+    return explode_lines(docs.repartition("doc_id"), text)
+
+
 def page_lines(pages: DataFrame) -> DataFrame:
     """Extracted pages (doc_id, page, region, text, total_pages) to lines in reading order.
 

@@ -101,7 +101,9 @@ def classify(lines: DataFrame, strict: bool = False) -> DataFrame:
     rows = rows.withColumn("said", F.when(F.col("named"), "").otherwise(text))
     glued = F.lag("said").over(w).endswith("-") & (shape == "text") & ~F.col("is_ordinal")
     rows = rows.withColumn("tail", F.when(glued, F.concat(F.regexp_replace(F.lag("said").over(w), "-$", ""), F.col("said"))).otherwise(F.col("said")))
-    guard = F.coalesce((F.lag("said").over(w) != "") & F.lag("tail").over(w).rlike(p.connector), F.lit(False))
+    ends = F.right("tail", F.lit(24)).rlike(p.connector)  # connectors are shorter
+    rows = rows.withColumn("ends", (F.col("said") != "") & ends)
+    guard = F.coalesce(F.lag("ends").over(w), F.lit(False))
     rows = rows.withColumn("guarded", shape.isin("article", "ordinal_article") & ~F.col("named") & guard)
     turn = F.when(~F.col("named") & (shape == "transitory"), True).when(~F.col("named") & (shape == "article") & ~F.col("guarded"), False)
     rows = rows.withColumn("in_transitory", F.coalesce(F.last(turn, ignorenulls=True).over(w), F.lit(False)))

@@ -76,13 +76,33 @@ def column_of(centre: Column, bounds: Column) -> Column:
     return F.when(stop == 0, F.size(bounds)).otherwise(stop - 1)
 
 
-def assign_columns(rows: DataFrame, layout: DataFrame) -> DataFrame:
-    """Rows with ``at`` (column of each word) and ``cells`` (text of each column)."""
-    joined = rows.join(layout, "img_id")
-    joined = joined.withColumn("at", F.transform("ws", lambda w: column_of(w["left"] + w["width"] / 2, F.col("bounds"))))
-    own = F.arrays_zip(F.col("at").alias("at"), F.transform("ws", lambda w: w["text"]).alias("t"))
-    cells = F.transform(F.sequence(F.lit(0), F.col("n_cols") - 1), lambda c: F.array_join(F.transform(F.filter(own, lambda z: z["at"] == c), lambda z: z["t"]), " "))
-    return joined.withColumn("cells", cells)
+def _layout(rows: Column) -> Column:
+    """``column_layout`` of one picture's rows, as a struct; null without numeric rows."""
+    numeric = F.filter(rows, lambda r: r["is_numeric"])
+    sizes = F.transform(numeric, lambda r: r["n"])
+    none = F.struct(F.lit(None).cast("int").alias("n"), F.lit(0).alias("k"))
+
+    def more_often(best: Column, n: Column) -> Column:
+        k = F.size(F.filter(sizes, lambda x: x == n))
+        return F.when(k > best["k"], F.struct(n.alias("n"), k.alias("k"))).otherwise(best)
+
+    return F.struct(F.aggregate(F.array_distinct(sizes), none, more_often)["n"].alias("n_cols"), numeric.alias("numeric"))
+
+
+def _bounds(n_cols: Column, numeric: Column) -> Column:
+    """Boundaries half-way between the mean centres of the rows that have ``n_cols`` words."""
+    fit = F.filter(numeric, lambda r: r["n"] == n_cols)
+    centre = lambda c: F.aggregate(fit, F.lit(0.0), lambda a, r: a + F.get(r["ws"], c)["left"] + F.get(r["ws"], c)["width"] / 2) / F.size(fit)
+    return F.transform(F.sequence(F.lit(0), n_cols - 2), lambda c: (centre(c) + centre(c + 1)) / 2)
+
+
+def _with_cells(row: Column, n_cols: Column, bounds: Column) -> Column:
+    """A row with ``at`` (column of each word), ``cells`` (text of each column) and the layout."""
+    at = F.transform(row["ws"], lambda w: column_of(w["left"] + w["width"] / 2, bounds))
+    own = F.arrays_zip(at.alias("at"), F.transform(row["ws"], lambda w: w["text"]).alias("t"))
+    cells = F.transform(F.sequence(F.lit(0), n_cols - 1), lambda c: F.array_join(F.transform(F.filter(own, lambda z: z["at"] == c), lambda z: z["t"]), " "))
+    fields = [row[f].alias(f) for f in ("row_no", "n", "is_numeric", "y", "text", "ws")]
+    return F.struct(*fields, at.alias("at"), cells.alias("cells"), bounds.alias("bounds"), n_cols.alias("n_cols"))
 
 
 def _header_cells(row: Column) -> Column:
@@ -95,14 +115,16 @@ def _header_cells(row: Column) -> Column:
 
 
 def build_tables(words: DataFrame) -> DataFrame:
-    """(img_id, md): Markdown lines of each picture; without numeric rows its plain text."""
-    rows = table_rows(assign_rows(usable_words(words)))
-    plain = rows.groupBy("img_id").agg(F.array_sort(F.collect_list(F.struct("row_no", "text"))).alias("s"), F.max("is_numeric").alias("has"))
-    plain = plain.where("not has").select("img_id", F.concat(F.array(F.lit("")), F.transform("s", lambda r: r["text"]), F.array(F.lit(""))).alias("md"))
+    """(img_id, md): Markdown lines of each picture; without numeric rows its plain text.
 
-    full = assign_columns(rows, column_layout(rows))
-    fields = F.struct("row_no", "n", "is_numeric", "y", "text", "ws", "at", "cells", "bounds", "n_cols")
-    t = full.groupBy("img_id", "n_cols").agg(F.array_sort(F.collect_list(fields), lambda a, b: a["row_no"] - b["row_no"]).alias("r"))
+    Everything after the words is one partitioning by picture.
+    """
+    rows = table_rows(assign_rows(usable_words(words)))
+    t = rows.groupBy("img_id").agg(F.array_sort(F.collect_list(F.struct("row_no", "n", "is_numeric", "y", "text", "ws")), lambda a, b: a["row_no"] - b["row_no"]).alias("r"))
+    plain = F.concat(F.array(F.lit("")), F.transform("r", lambda r: r["text"]), F.array(F.lit("")))
+    t = t.withColumns({"plain": plain, "layout": _layout(F.col("r"))}).withColumn("n_cols", F.col("layout.n_cols"))
+    t = t.withColumn("bounds", F.when(F.col("n_cols").isNotNull(), _bounds(F.col("n_cols"), F.col("layout.numeric"))))
+    t = t.withColumn("r", F.when(F.col("n_cols").isNotNull(), F.transform("r", lambda r: _with_cells(r, F.col("n_cols"), F.col("bounds")))))
     t = t.withColumn("first", F.array_position(F.transform("r", lambda r: r["is_numeric"]), F.lit(True)).cast("int") - 1)
     t = t.withColumn("pre", F.slice("r", 1, F.col("first")))
 
@@ -141,8 +163,8 @@ def build_tables(words: DataFrame) -> DataFrame:
     after = F.when(F.size(after) > 0, F.concat(F.array(F.lit("")), after)).otherwise(F.array().cast("array<string>"))
     rule = line(F.transform(column, lambda c: F.lit("---")))
     blank = F.array(F.lit(""))
-    tables = t.select("img_id", F.concat(blank, titles, F.array(line(F.col("names")), rule), data, after, blank).alias("md"))
-    return tables.unionByName(plain)
+    table = F.concat(blank, titles, F.array(line(F.col("names")), rule), data, after, blank)
+    return t.select("img_id", F.when(F.col("n_cols").isNull(), F.col("plain")).otherwise(table).alias("md"))
 
 
 def with_placeholder(images: DataFrame, tables: DataFrame) -> DataFrame:

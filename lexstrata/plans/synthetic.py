@@ -66,7 +66,8 @@ def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def legal_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return doc_lines(spark, sf_dir).select("doc_id", "line_no", F.expr(LEGAL).alias("text"))
+    lines = L.lines_by_document(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lines.select("doc_id", "line_no", F.expr(LEGAL).alias("text"))
 
 
 def ocr_words(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,9 +74,9 @@ def test_render_and_chunks(spark):
 
 def test_paragraphs_need_one_shuffle(spark):
     spark.range(3).selectExpr("id AS doc_id", "'a\nb' AS text").write.mode("overwrite").parquet("/tmp/lexstrata-plan")
-    from lexstrata.operators.lines import explode_lines
+    from lexstrata.operators.lines import lines_by_document
 
-    plan = S.paragraphs(S.pieces(S.classify(explode_lines(spark.read.parquet("/tmp/lexstrata-plan")))))
+    plan = S.paragraphs(S.pieces(S.classify(lines_by_document(spark.read.parquet("/tmp/lexstrata-plan")))))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1
 
@@ -84,7 +84,7 @@ def test_paragraphs_need_one_shuffle(spark):
 def test_markdown_reads_its_lines_twice_at_most(spark):
     """Once for the running headers, once for the rest; one exchange of the lines."""
     spark.range(3).selectExpr("id AS doc_id", "'a\nb' AS text").write.mode("overwrite").parquet("/tmp/lexstrata-plan2")
-    from lexstrata.operators.lines import explode_lines
+    from lexstrata.operators.lines import lines_by_document
 
-    plan = S.markdown(explode_lines(spark.read.parquet("/tmp/lexstrata-plan2")))._jdf.queryExecution().executedPlan().toString()
+    plan = S.markdown(lines_by_document(spark.read.parquet("/tmp/lexstrata-plan2")))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") <= 2 and plan.count("Exchange hashpartitioning") <= 4
