@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .quality import let
 from .scratch import Scratch
 
 BASE = ("email", "ip", "card", "phone")
@@ -249,26 +250,43 @@ def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
 
 
+_CHUNK = 2048
+
+
+def _cut(chunks: Column, begin: Column, end: Column) -> Column:
+    """Characters [begin, end) of a text held as chunks of ``_CHUNK``: only those touched are read."""
+    first, last = F.floor(begin / _CHUNK).cast("int"), F.floor((end - 1) / _CHUNK).cast("int")
+
+    def part(k: Column) -> Column:
+        low = F.greatest(begin - k * _CHUNK, F.lit(0)).cast("int")
+        high = F.least(end - k * _CHUNK, F.lit(_CHUNK)).cast("int")
+        return F.substring(F.get(chunks, k), low + 1, high - low)
+
+    return F.when(begin >= end, F.lit("")).otherwise(F.array_join(F.transform(F.sequence(first, last), part), ""))
+
+
 def redact(docs: DataFrame, accept: float = 0.5) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in angle brackets (column order kept).
 
     Overlapping spans are replaced together, under the first one's kind.  Rows without
-    spans pass through; null text stays null.
+    spans pass through; null text stays null.  The work grows with the text and the number
+    of spans, not with their product.
     """
     tmp = Scratch(docs.sparkSession, "redact")
     found = find_spans(docs, accept, tmp).where(F.size("spans") > 0).select("doc_id", "key", "spans").dropDuplicates(["doc_id", "key"])
-    found = tmp.save(found.withColumnsRenamed({"doc_id": "_id", "key": "_key", "spans": "_spans"}), "spans")
+    each = found.select("doc_id", "key", F.explode("spans").alias("s")).select("doc_id", "key", "s.start", "s.end", "s.kind")
+    before = Window.partitionBy("doc_id", "key").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    each = each.withColumn("from", F.coalesce(F.max("end").over(before), F.lit(0)))
+    lists = each.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "from"))).alias("_spans"), F.max("end").alias("_end"))
+    lists = tmp.save(lists, "spans")
     key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    both = docs.withColumn("_own", key).join(found, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left")
-    ordered = F.array_sort(F.transform("_spans", lambda x: F.struct(x["start"].alias("s"), x["end"].alias("e"), x["kind"].alias("k"))))
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substring("text", (acc["at"] + 1).cast("int"), (x["s"] - acc["at"]).cast("int"))
-        new = F.struct(x["e"].cast("bigint").alias("at"), F.concat(acc["out"], gap, F.lit("<"), x["k"], F.lit(">")).alias("out"))
-        over = F.struct(F.greatest(acc["at"], x["e"]).cast("bigint").alias("at"), acc["out"].alias("out"))
-        return F.when(x["s"] >= acc["at"], new).otherwise(over)
-
-    rest = lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.char_length("text")))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.aggregate(ordered, empty, step, rest))
+    both = docs.withColumn("_own", key).join(lists, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left")
+
+    def rebuilt(chunks: Column) -> Column:
+        mask = lambda x: F.concat(_cut(chunks, x["from"], x["start"]), F.lit("<"), x["kind"], F.lit(">"))
+        pieces = F.transform("_spans", lambda x: F.when(x["start"] >= x["from"], mask(x)).otherwise(""))
+        return F.concat(F.array_join(pieces, ""), _cut(chunks, F.col("_end"), F.char_length("text")))
+
+    chunks = F.regexp_extract_all(F.col("text"), F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(let(chunks, rebuilt))
     return both.withColumn("text", text).select(*docs.columns)

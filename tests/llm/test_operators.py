@@ -226,6 +226,20 @@ def test_pii_adds_secrets_and_redacts(spark):
     assert texts[5] == "<secret>\" <secret> é 🙂 <email>" and texts[50] == "clean text, no. 12" and texts[51] is None and texts[52] == "<email>"
 
 
+def test_pii_redaction_of_long_texts(spark):
+    rng = random.Random(5)
+    parts = [rng.choice(["é🙂 word ", "a.b@mail.com ", "+1 (988) 555-2485 ", "10.0.0.1 ", "x" * 700 + " "]) for _ in range(6000)]
+    text = "".join(parts)
+    want, at = "", 0
+    spans = pii.find_spans(frame(spark, [(1, text)])).first()["spans"]
+    assert len(spans) > 2000
+    for start, end, kind in sorted((x["start"], x["end"], x["kind"]) for x in spans):
+        if start >= at:
+            want += text[at:start] + f"<{kind}>"
+        at = max(at, end)
+    assert pii.redact(frame(spark, [(1, text)])).first()["text"] == want + text[at:]
+
+
 def test_pii_expectation_maximisation():
     counts = {("email", 1, 1, 1): 50, ("email", 0, 0, -1): 40, ("email", 1, 0, -1): 3}
     posterior, fitted = pii.expectation_maximisation(counts)
