@@ -48,9 +48,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(F.col("_hit")), "left_anti")
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import kernels as K
 from .scratch import Scratch
@@ -200,6 +201,33 @@ def _extend():
     return run
 
 
+def _benchmark(spark: SparkSession, tmp: Scratch, items: DataFrame, window: int, gram: int, broadcast_windows: int):
+    """Item windows with their items, the windows alone, and these as a broadcast if they are few enough."""
+    items = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null")
+    owned = tmp.save(items.mapInArrow(_item_windows(window, gram), "length int, h1 long, h2 long, fp long, item_id string").distinct(), "windows")
+    windows = owned.select("length", "h1", "h2", "fp").distinct()
+    if windows.limit(broadcast_windows + 1).count() > broadcast_windows:
+        return owned, windows, None
+    table = windows.toArrow()  # bounded by the count just made
+    return owned, windows, spark.sparkContext.broadcast((table.column("length").to_numpy(), *(K.unsigned(table.column(c)) for c in ("h1", "h2", "fp"))))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, gram: int = 5, broadcast_windows: int = 1_000_000) -> DataFrame:
+    """``docs`` without the rows that hold an item window.
+
+    With a small benchmark rows are judged where they are and nothing is shuffled.
+    """
+    spark: SparkSession = docs.sparkSession
+    _, _, shared = _benchmark(spark, Scratch(spark, "clean"), items, window, gram, broadcast_windows)
+    if shared is None:
+        found = find_contamination(docs, items, window, gram, broadcast_windows)
+        hit = found.where("n_hit > 0").select(F.col("doc_id").alias("_hit")).distinct()
+        return docs.join(hit, docs["doc_id"].cast("long").eqNullSafe(F.col("_hit")), "left_anti")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), *T._parse_datatype_string(_OUT).fields[1:]])
+    return rows.mapInArrow(_scan(shared, window, gram), schema).where("n_hit = 0").select("doc_id.*")
+
+
 def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, gram: int = 5, broadcast_windows: int = 1_000_000) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, item_ids (array of string, sorted).
 
@@ -208,12 +236,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, gram
     spark: SparkSession = docs.sparkSession
     tmp = Scratch(spark, "winnow")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null")
-    owned = tmp.save(items.mapInArrow(_item_windows(window, gram), "length int, h1 long, h2 long, fp long, item_id string").distinct(), "windows")
-    windows = owned.select("length", "h1", "h2", "fp").distinct()
-    if windows.limit(broadcast_windows + 1).count() <= broadcast_windows:
-        table = windows.toArrow()  # bounded by the count just made
-        shared = spark.sparkContext.broadcast((table.column("length").to_numpy(), *(K.unsigned(table.column(c)) for c in ("h1", "h2", "fp"))))
+    owned, windows, shared = _benchmark(spark, tmp, items, window, gram, broadcast_windows)
+    if shared is not None:
         found = docs.mapInArrow(_scan(shared, window, gram), _OUT)
     else:
         lengths = [r[0] for r in windows.select("length").distinct().collect()]  # at most ``window`` values

@@ -280,7 +280,8 @@ def redact(docs: DataFrame, accept: float = 0.5) -> DataFrame:
     lists = each.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "from"))).alias("_spans"), F.max("end").alias("_end"))
     lists = tmp.save(lists, "spans")
     key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    both = docs.withColumn("_own", key).join(lists, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left")
+    # the same join at every size: texts with spans are as many as the documents that have any
+    both = docs.withColumn("_own", key).join(lists.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left")
 
     def rebuilt(chunks: Column) -> Column:
         mask = lambda x: F.concat(_cut(chunks, x["from"], x["start"]), F.lit("<"), x["kind"], F.lit(">"))
