@@ -52,7 +52,7 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_score.score(table(spark, sf_dir, "documents"), order=2, discount=0.4)
+    return lm_score.score(table(spark, sf_dir, "documents"), order=3, discount=0.4)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from lexstrata.llm import decontaminate, jaccard_join, language_id, license_scan, lm_score, packing, pii, quality, substring_dedup, url_filter
 from lexstrata.llm import kernels as K
-from lexstrata.llm.queries import URL_RULES, tokenizer_path
+from lexstrata.llm.queries import URL_RULES, queries, tokenizer_path
 from pyspark.sql import functions as F
 
 R = random.Random(7)
@@ -357,6 +357,15 @@ def backoff(docs, order):
     return out
 
 
+def test_lm_query_scores_with_trigrams(spark):
+    sf = "/root/testdata/sf0.001"
+    out = {r["doc_id"]: r for r in queries()["op6_lm_score"](spark, sf).collect()}
+    want = backoff([(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()], 3)
+    assert out.keys() == want.keys()
+    for d, s in want.items():
+        assert out[d]["log_score"] == pytest.approx(s, rel=1e-9, abs=1e-9)
+
+
 def test_lm_single_and_empty(spark):
     assert lm_score.score(frame(spark, [(1, "a b")])).first()["log_score"] == pytest.approx(2 * 0 + math.log(0.4))
     assert lm_score.score(frame(spark, [])).count() == 0
