@@ -212,17 +212,34 @@ def _benchmark(spark: SparkSession, tmp: Scratch, items: DataFrame, window: int,
     return owned, windows, spark.sparkContext.broadcast((table.column("length").to_numpy(), *(K.unsigned(table.column(c)) for c in ("h1", "h2", "fp"))))
 
 
+def _by_joins(tmp: Scratch, keyed: DataFrame, name: str, windows: DataFrame, window: int, gram: int) -> DataFrame:
+    """Rows (key, text, ``name``) -> results under ``name``; rows of one key have one text."""
+    lengths = [r[0] for r in windows.select("length").distinct().collect()]  # at most ``window`` values
+    marks = keyed.select("key", "text").mapInArrow(_emit(window, gram, sorted(lengths)), "key string, fp long")
+    maybe = marks.join(windows, "fp").select("key", F.struct("length", "h1", "h2").alias("w")).groupBy("key").agg(F.collect_set("w").alias("maybe"))
+    maybe = tmp.save(maybe, "maybe")
+    rows = keyed.join(maybe, "key", "left").select(F.col(name).alias("doc_id"), "text", "maybe")
+    kind = rows.schema["doc_id"].dataType
+    schema = T.StructType([T.StructField("doc_id", kind), *T._parse_datatype_string(_OUT).fields[1:]])
+    return rows.mapInArrow(_extend(), schema).withColumnRenamed("doc_id", name)
+
+
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, gram: int = 5, broadcast_windows: int = 1_000_000) -> DataFrame:
     """``docs`` without the rows that hold an item window.
 
-    With a small benchmark rows are judged where they are and nothing is shuffled.
+    Each row is judged by its own text, whatever its doc_id.  With a small benchmark rows
+    are judged where they are and nothing is shuffled.
     """
     spark: SparkSession = docs.sparkSession
-    _, _, shared = _benchmark(spark, Scratch(spark, "clean"), items, window, gram, broadcast_windows)
+    tmp = Scratch(spark, "clean")
+    _, windows, shared = _benchmark(spark, tmp, items, window, gram, broadcast_windows)
     if shared is None:
-        found = find_contamination(docs, items, window, gram, broadcast_windows)
-        hit = found.where("n_hit > 0").select(F.col("doc_id").alias("_hit")).distinct()
-        return docs.join(hit, docs["doc_id"].cast("long").eqNullSafe(F.col("_hit")), "left_anti")
+        # whether a row holds a window follows from its text alone, so rows are told apart by a digest of it
+        digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+        keyed = docs.select(digest.alias("key"), F.col("text").cast("string").alias("text"))
+        found = _by_joins(tmp, keyed, "key", windows, window, gram)
+        hit = tmp.save(found.where("n_hit > 0").select(F.col("key").alias("_hit")).distinct(), "hit")
+        return docs.join(hit, digest == F.col("_hit"), "left_anti")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), *T._parse_datatype_string(_OUT).fields[1:]])
     return rows.mapInArrow(_scan(shared, window, gram), schema).where("n_hit = 0").select("doc_id.*")
@@ -240,13 +257,9 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, gram
     if shared is not None:
         found = docs.mapInArrow(_scan(shared, window, gram), _OUT)
     else:
-        lengths = [r[0] for r in windows.select("length").distinct().collect()]  # at most ``window`` values
         # rows with one id need not be the same document: a digest of the text keeps them apart
         keyed = docs.withColumn("key", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")))))
-        marks = keyed.select("key", "text").mapInArrow(_emit(window, gram, sorted(lengths)), "key string, fp long")
-        maybe = marks.join(windows, "fp").select("key", F.struct("length", "h1", "h2").alias("w")).groupBy("key").agg(F.collect_set("w").alias("maybe"))
-        maybe = tmp.save(maybe, "maybe")
-        found = keyed.join(maybe, "key", "left").select("doc_id", "text", "maybe").mapInArrow(_extend(), _OUT)
+        found = _by_joins(tmp, keyed, "doc_id", windows, window, gram)
     found = found.withColumn("row", F.monotonically_increasing_id())
     found = tmp.save(found, "found")
     pairs = found.where("n_hit > 0").select("row", F.explode(F.arrays_zip("h1", "h2")).alias("w")).select("row", "w.h1", "w.h2")

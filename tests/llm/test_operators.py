@@ -152,6 +152,16 @@ def test_decontamination_empty_benchmark(spark, limit):
     assert sorted(r["n_hit"] for r in out) == [0, 0]
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_contaminated_rows_go_each_on_their_own(spark, limit):
+    items = spark.createDataFrame([(i, t) for i, t in ITEMS], "item_id long, text string")
+    bad = "x " + ITEMS[0][1]
+    rows = [(None, bad), (None, "clean one"), (None, None), (1, bad), (1, "clean two"), (1, "clean two"), (2, "clean one"), (3, bad), (4, "")]
+    out = decontaminate.drop_contaminated(frame(spark, rows), items, broadcast_windows=limit)
+    assert out.columns == frame(spark, rows).columns
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter(r for r in rows if r[1] != bad)
+
+
 def test_language_id(spark):
     words = {"xx": "zab zoc zid", "yy": "lum lor lin"}
     rng = random.Random(1)
