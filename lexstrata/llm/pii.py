@@ -46,7 +46,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "email_spelled": rf"(?<!{_NAME}){_NAME}{{1,64}}+\s?(?:\[at\]|\(at\)|\{{at\}})\s?[A-Za-z0-9-]{{1,63}}+(?:\s?(?:\[dot\]|\(dot\)|\.)\s?[A-Za-z0-9-]{{1,63}}+){{1,5}}+",
     "phone_national": r"(?<![0-9A-Za-z+.-])(?<!\+[0-9]{1,3}[\x20.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z-])",
-    "secret": r"\b(?:[Pp]assword|PASSWORD|[Pp]asswd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API_KEY|[Aa]ccess[_-][Kk]ey)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_.=-]{8,512}",
+    "secret": r"\b(?:[Pp]assword|PASSWORD|[Pp]asswd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API_KEY|[Aa]ccess[_-][Kk]ey)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_.=-]{8,}+",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 #: What a text must hold before a pattern is tried.

@@ -236,6 +236,15 @@ def test_pii_adds_secrets_and_redacts(spark):
     assert texts[5] == "<secret>\" <secret> é 🙂 <email>" and texts[50] == "clean text, no. 12" and texts[51] is None and texts[52] == "<email>"
 
 
+def test_pii_redacts_whole_long_secrets(spark):
+    value = lambda n: "aB3_" * (n // 4)
+    sizes = (40, 512, 516, 800, 5000, 200_000)
+    docs = frame(spark, [(n, f"token = \"{value(n)}\" of") for n in sizes])
+    spans = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in pii.find_spans(docs).collect()}
+    assert spans == {n: [("secret", 0, 9 + n)] for n in sizes}
+    assert {r["text"] for r in pii.redact(docs).collect()} == {"<secret>\" of"}
+
+
 def test_pii_redaction_of_long_texts(spark):
     rng = random.Random(5)
     parts = [rng.choice(["é🙂 word ", "a.b@mail.com ", "+1 (988) 555-2485 ", "10.0.0.1 ", "x" * 700 + " "]) for _ in range(6000)]
