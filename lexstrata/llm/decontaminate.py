@@ -14,8 +14,9 @@ Beyond it both sides' fingerprints are shuffled and joined, and the windows that
 document may hold are brought to it by joins; the results are the same.
 
 Defined cases: null text and null items have no words; null doc_id is kept; repeated
-documents are judged each on their own; repeated items count once per item_id; with an
-empty benchmark nothing is hit; further columns are ignored.
+documents are judged each on their own; repeated items count once per item_id; items
+without item_id count in n_hit but are not listed in item_ids; with an empty benchmark
+nothing is hit; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -203,7 +204,7 @@ def _extend():
 
 def _benchmark(spark: SparkSession, tmp: Scratch, items: DataFrame, window: int, gram: int, broadcast_windows: int):
     """Item windows with their items, the windows alone, and these as a broadcast if they are few enough."""
-    items = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null")
+    items = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     owned = tmp.save(items.mapInArrow(_item_windows(window, gram), "length int, h1 long, h2 long, fp long, item_id string").distinct(), "windows")
     windows = owned.select("length", "h1", "h2", "fp").distinct()
     if windows.limit(broadcast_windows + 1).count() > broadcast_windows:

@@ -162,6 +162,15 @@ def test_contaminated_rows_go_each_on_their_own(spark, limit):
     assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter(r for r in rows if r[1] != bad)
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_items_without_id_contaminate(spark, limit):
+    items = spark.createDataFrame([(None, ITEMS[0][1]), (5, "w1 w2")], "item_id long, text string")
+    docs = frame(spark, [(1, "x " + ITEMS[0][1]), (2, "w1 w2"), (3, "clean")])
+    out = decontaminate.find_contamination(docs, items, broadcast_windows=limit).collect()
+    assert {r["doc_id"]: (r["n_hit"], r["item_ids"]) for r in out} == {1: (12, []), 2: (2, ["5"]), 3: (0, [])}
+    assert [r["doc_id"] for r in decontaminate.drop_contaminated(docs, items, broadcast_windows=limit).collect()] == [3]
+
+
 def test_language_id(spark):
     words = {"xx": "zab zoc zid", "yy": "lum lor lin"}
     rng = random.Random(1)
