@@ -12,14 +12,22 @@ one expression; ``MAX_RULES`` bounds it.
 
 Defined cases: null url or one without ``://`` has empty host and path, no rule, no
 alias; null html has no links; repeated rows are judged each on their own; a link to the
-page itself says nothing; further columns are ignored.
+page itself says nothing; links are unescaped and, if relative, resolved (``?query``,
+``../``) before they are compared; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+from html import unescape
+from html.entities import html5
+from urllib.parse import urljoin
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .components import connected
 from .scratch import Scratch
 
@@ -35,6 +43,9 @@ _REFRESH = (
     rf"""(?i)<meta\s[^>]*?\bcontent{_ATTR}[^>"']*?\burl\s*=\s*['"]?([^"'\s>]+)[^>]*?\bhttp-equiv{_ATTR}refresh\b""",
 )
 
+_REFERENCE = re.compile(r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)")
+_ADDRESS = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://")
+
 
 def host_of(url: Column) -> Column:
     return F.translate(F.coalesce(F.regexp_extract(url, r"://([^/?#]*)", 1), F.lit("")), _UPPER, _LOWER)
@@ -68,16 +79,37 @@ def _links(html: Column) -> Column:
     return F.when(html.rlike(r"(?i)\bcanonical\b|\brefresh\b"), every).otherwise(none)
 
 
-def _absolute(link: Column, url: Column) -> Column:
-    """A link seen from the page at ``url``; null for what isn't an address."""
-    scheme, site = F.regexp_extract(url, r"^(.*?)://", 1), F.regexp_extract(url, r"^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(url, r"^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
-    return (
-        F.when(link.contains("://"), link)
-        .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(site, link))
-        .when(~link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:|^[?#]"), F.concat(folder, F.when(folder.endswith("/"), F.lit("")).otherwise(F.lit("/")), link))
-    )
+def _unescape(text: str) -> str:
+    """Character references as in an attribute: a name without semicolon stands for itself before ``=``."""
+
+    def one(m: re.Match) -> str:
+        name = m[1]
+        if name.startswith("#"):
+            return unescape(m[0])
+        if not name.endswith(";") and text[m.end() : m.end() + 1] == "=":
+            return m[0]
+        return html5.get(name, m[0])
+
+    return _REFERENCE.sub(one, text)
+
+
+def _absolute(link: str, url: str | None) -> str | None:
+    """A link as written in the page at ``url``, resolved; null for what isn't an address."""
+    link = _unescape(link).strip()
+    if _ADDRESS.match(link):
+        return link
+    try:
+        return urljoin(url, link) if url and link else None
+    except ValueError:  # brackets that hold no IPv6 address
+        return None
+
+
+def _targets(batches):
+    """(url, link) -> (a, b): the page and what it links to."""
+    for batch in batches:
+        urls, links = (batch.column(i).to_pylist() for i in range(2))
+        b = [_absolute(x, u) for u, x in zip(urls, links, strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(urls, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], redirects: DataFrame | None = None) -> DataFrame:
@@ -89,7 +121,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], redirects:
     url, html = F.col("url").cast("string"), F.col("html").cast("string")
     own = rule_for(F.col("host"), F.col("path"), rules)
     rows = pages.select("page_id", url.alias("url"), html.alias("html"))
-    links = rows.select("url", F.explode(_links(F.col("html"))).alias("link")).select(F.col("url").alias("a"), _absolute(F.col("link"), F.col("url")).alias("b"))
+    links = rows.select("url", F.explode(_links(F.col("html"))).alias("link")).mapInArrow(_targets, "a string, b string")
     if redirects is not None:
         links = links.union(redirects.select(F.col("from_url").cast("string").alias("a"), F.col("to_url").cast("string").alias("b")))
     edges = tmp.save(links.select(node_of(F.col("a")).alias("a"), node_of(F.col("b")).alias("b")).where("a is not null and b is not null and a != b").distinct(), "aliases")
@@ -110,3 +142,6 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], redirects:
         F.when(F.col("own").isNotNull(), F.col("own.verdict")).when(blocked, "block").otherwise("allow").alias("verdict"),
         F.when(F.col("own").isNotNull(), "rule").when(blocked, "alias").otherwise("default").alias("via"),
     )
+
+
+K.ship(__name__)

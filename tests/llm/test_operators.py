@@ -328,6 +328,26 @@ def test_url_aliases(spark):
     assert {r["page_id"]: (r["verdict"], r["via"]) for r in out} == {1: ("block", "rule"), 2: ("block", "alias"), 3: ("block", "alias"), 4: ("allow", "rule"), 5: ("allow", "default"), 6: ("block", "alias"), 7: ("block", "alias")}
 
 
+def test_url_aliases_are_unescaped_and_resolved(spark):
+    link = '<link rel="canonical" href="{}">'.format
+    pages = [
+        (1, "http://s.org/a/b/p?x=1&y=2", link("http://x.net/fr/1?u=1&amp;v=2")),
+        (2, "http://x.net/fr/1?u=1&v=2", None),
+        (3, "http://s.org/a/b/q", link("../../a/b/p?x=1&#38;y=2")),
+        (4, "http://s.org/a/b/p?z=3", link("?x=1&#x26;y=2")),
+        (5, "http://s.org/a/r", '<meta http-equiv="refresh" content="0; url=./b/../b/q">'),
+        (6, "http://t.org/a", link("/b?k=1&copy=2")),
+        (7, "http://t.org/b?k=1&copy=2", link("http://x.net/es/")),
+        (8, "http://u.org/", link("/go?to=http://x.net/fr/1")),
+        (9, "http://v.org/", link("http://[x/")),
+        (10, "nonsense", link("?x=1")),
+        (11, None, link("../a")),
+    ]
+    out = url_filter.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), URL_RULES).collect()
+    got = {r["page_id"]: r["via"] for r in out if r["verdict"] == "block"}
+    assert got == {2: "rule", **dict.fromkeys((1, 3, 4, 5, 6, 7), "alias")}
+
+
 def test_packing_round_trip(spark, docs):
     import numpy as np
     from tokenizers import Tokenizer
