@@ -33,17 +33,27 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near copies; one row of repeated ones.
 
-    Documents without doc_id, and those without words, stay.
+    Rows that share a doc_id but not the text are documents of their own.  Documents
+    without doc_id, and those without words, stay.
     """
-    linked = jaccard_join.link_near_copies(docs)
-    gone = linked.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    again = linked.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again")
-    again = Scratch(spark, "again").save(again, "ids")
+    tmp = Scratch(spark, "near")
+    id_, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    again = tmp.save(docs.where("doc_id is not null").groupBy(id_.alias("doc_id")).count().where("count > 1").select("doc_id"), "again")
     if again.isEmpty():
-        return kept
-    single = kept.join(again, docs["doc_id"] == F.col("_again"), "left_anti")
-    return single.unionByName(kept.join(again, docs["doc_id"] == F.col("_again"), "left_semi").dropDuplicates(["doc_id"]))
+        linked = jaccard_join.link_near_copies(docs)
+        gone = linked.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
+        return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    # ids do not name documents here: each pair of id and text gets a number and is linked by that
+    key = F.xxhash64(text)
+    named = docs.where("doc_id is not null")
+    nodes = named.select(id_.alias("doc_id"), text.alias("text"), key.alias("key")).dropDuplicates(["doc_id", "key"])
+    nodes = tmp.save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    linked = jaccard_join.link_near_copies(nodes.select(F.col("node").alias("doc_id"), "text"))
+    linked = linked.select(F.col("doc_id").alias("node"), "component_id").join(nodes.select("node", "doc_id", "key"), "node")
+    best = linked.groupBy("component_id").agg(F.min(F.struct("doc_id", "key")).alias("l"))
+    best = tmp.save(best.select(F.col("l.doc_id").alias("_id"), F.col("l.key").alias("_key")), "best")
+    kept = named.join(best, (id_ == F.col("_id")) & (key == F.col("_key")), "inner").dropDuplicates(["_id", "_key"])
+    return kept.select(*(f"`{c}`" for c in docs.columns)).unionByName(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

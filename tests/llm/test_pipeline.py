@@ -44,6 +44,14 @@ def test_repeated_rows_leave_one(spark):
     assert sorted(str(r["doc_id"]) for r in P.drop_near_copies(spark, docs, SF).collect()) == ["1", "3", "None"]
 
 
+def test_repeated_ids_of_different_texts_stay(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, c), (3, a + " more"), (4, c), (4, None), (4, ""), (None, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [tuple(r) for r in P.drop_near_copies(spark, docs, SF).collect()]
+    assert sorted(out, key=str) == sorted([(1, a), (2, b), (3, c), (4, None), (4, ""), (None, b)], key=str)
+
+
 def test_all_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("false")
     for _, stage in P.STAGES:
