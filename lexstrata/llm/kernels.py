@@ -2,9 +2,11 @@
 
 A *piece* is a slice of an Arrow batch of at most about half a megabyte of text (one
 longer document is a piece of its own), so a worker's temporaries stay bounded
-whatever the batch size.  Hashes are 64-bit polynomials modulo 2**64 with a fixed
-table of byte values, finished by an avalanche mix; wherever equality of texts is
-decided by hash alone, two independent ones are used.
+whatever the batch size.  A word's hash adds up its 8-byte lanes, each put through an
+avalanche mix with its place and the seed; a run of words is hashed as a tree of halves
+with a multiply and shift at every joint.  Neither is linear in what it hashes, so
+structured texts (Thue-Morse sequences and the like) don't collide, and hashes of two
+seeds are independent.  Wherever equality of texts is decided by hash alone, two are used.
 """
 
 from __future__ import annotations
@@ -18,7 +20,9 @@ from pyspark import cloudpickle
 PIECE_BYTES = 512 << 10
 _U = np.uint64
 _MAX = _U(0xFFFFFFFFFFFFFFFF)
-_POWERS: dict = {}
+_STEP = _U(0x9E3779B97F4A7C15)
+#: Low bytes of a lane that belong to a word of that many bytes.
+_LANE = np.array([(1 << 8 * n) - 1 for n in range(9)], _U)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,24 +34,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _byte_values(seed: int) -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15) + _U(seed))
-
-
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and its inverse modulo 2**64 for i < n; kept and grown as needed."""
-    have = _POWERS.get(base)
-    if have is None or len(have[0]) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
-        out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(size, b, _U)
-            p[0] = 1
-            out.append(np.cumprod(p))
-        have = _POWERS[base] = tuple(out)
-    return have[0][:n], have[1][:n]
-
-
 def class_table(member) -> np.ndarray:
     """256 booleans: whether a byte belongs to a word."""
     return np.fromiter((member(b) for b in range(256)), bool, 256)
@@ -115,24 +101,73 @@ class Words:
         return np.repeat(self.first[1:], self.count)
 
     def hashes(self, seed: int = 1) -> np.ndarray:
-        up, down = _powers(0x5851F42D4C957F2D, len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, _U)
-        np.cumsum(_byte_values(seed)[self.data] * up[:-1], out=total[1:])
-        return mix((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(_U))
+        size = self.end - self.start
+        lanes = (size + 7) >> 3
+        first = np.cumsum(lanes) - lanes
+        of = np.repeat(np.arange(self.n), lanes)
+        k = np.arange(len(of)) - first[of]
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        lane = np.ndarray((len(self.data) + 1,), "<u8", padded, strides=(1,))[self.start[of] + 8 * k]
+        lane &= _LANE[np.minimum(size[of] - 8 * k, 8)]
+        lane = mix(lane + (k + 1).astype(_U) * _STEP + mix(np.full(1, seed, _U)))
+        total = np.add.reduceat(lane, first) if self.n else np.zeros(0, _U)
+        return mix(total + size.astype(_U) * _U(0xA0761D6478BD642F))
+
+
+def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of two runs, one after the other."""
+    x = (a ^ (a >> _U(32))) * _U(0x9FB21C651E98DF25) + b
+    return (x ^ (x >> _U(29))) * _U(0xD6E8FEB86659FD93)
+
+
+def _ahead(x: np.ndarray, by: int) -> np.ndarray:
+    """x[i + by], zero beyond the end."""
+    out = np.zeros_like(x)
+    if by < len(x):
+        out[: len(x) - by] = x[by:]
+    return out
 
 
 class Windows:
-    """Hashes of runs of consecutive words, any length, from one prefix sum."""
+    """Hashes of runs of consecutive words, by doubling; the lengths asked for last are kept."""
 
     def __init__(self, word_hashes: np.ndarray):
-        self.n = len(word_hashes)
-        up, self.down = _powers(0xD1342543DE82EF95, self.n + 1)
-        self.total = np.zeros(self.n + 1, _U)
-        np.cumsum(word_hashes * up[:-1], out=self.total[1:])
+        self.words = word_hashes
+        self.have: dict[int, np.ndarray] = {}
+
+    def every(self, length: int) -> np.ndarray:
+        """Hash of the ``length`` words from each place on (of no use where they don't fit)."""
+        if length not in self.have:
+            span, size, out, done = self.words, 1, None, 0
+            while True:  # lowest binary digits first
+                if length & size:
+                    out = span if out is None else _join(out, _ahead(span, done))
+                    done += size
+                if done == length:
+                    break
+                span, size = _join(span, _ahead(span, size)), 2 * size
+            if len(self.have) > 3:
+                self.have.pop(next(iter(self.have)))
+            self.have[length] = mix(out + _U(length))
+        return self.have[length]
 
     def at(self, first: np.ndarray, length) -> np.ndarray:
-        """Hash of the words [first, first + length); both may be arrays."""
-        return mix((self.total[first + length] - self.total[first]) * self.down[first] + np.asarray(length).astype(_U))
+        """Hash of the words [first, first + length); length is one number or one of few for each."""
+        if np.ndim(length) == 0:
+            return self.every(int(length))[first] if int(length) else np.zeros(len(first), _U)
+        out = np.zeros(len(first), _U)
+        for n in np.unique(length):
+            if n:
+                own = length == n
+                out[own] = self.every(int(n))[first[own]]
+        return out
+
+
+def row_hashes(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hash of all words of each row, which ``first`` bounds."""
+    count = np.diff(first)
+    place = np.arange(len(words)) - np.repeat(first[:-1], count)
+    return mix(row_sums(mix(words + (place + 1).astype(_U) * _STEP), first) + count.astype(_U) * _U(0xA0761D6478BD642F))
 
 
 def slide(values: np.ndarray, width: int, op) -> np.ndarray:

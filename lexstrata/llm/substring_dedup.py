@@ -50,11 +50,10 @@ def _summaries():
         for batch in batches:
             for first, last, data, offsets in K.pieces(batch.column(1)):
                 w = K.Words(data, offsets)
-                h1, h2 = _two_hashes(w)
-                start, count = w.first[:-1], w.count
+                c1, c2 = (K.row_hashes(w.hashes(s), w.first) for s in _SEEDS)
                 text = data.tobytes()
                 sha = [hashlib.sha256(b" ".join(text[a:b].split())).hexdigest() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), batch.column(2).slice(first, last - first), K.signed(h1.at(start, count)), K.signed(h2.at(start, count)), pa.array(count.astype(np.int64)), pa.array(sha, pa.string())], names=["doc_id", "key", "c1", "c2", "n_words", "sha"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), batch.column(2).slice(first, last - first), K.signed(c1), K.signed(c2), pa.array(w.count.astype(np.int64)), pa.array(sha, pa.string())], names=["doc_id", "key", "c1", "c2", "n_words", "sha"])
 
     return run
 
@@ -70,7 +69,8 @@ def _anchors(window: int):
                 w = K.Words(data, offsets)
                 if w.n < window:
                     continue
-                h = K.Windows(w.hashes(_SEEDS[0]))
+                word = w.hashes(_SEEDS[0])
+                h = K.Windows(word)
                 i, last = np.arange(w.n), w.last_of()
                 begin = np.repeat(w.first[:-1], w.count)
                 grams = np.where(i + short <= last, h.at(np.minimum(i, w.n - short), short), K._MAX)
@@ -79,7 +79,7 @@ def _anchors(window: int):
                 right = h.at(np.where(right_ok, at, 0), double).view(np.int64)
                 left = h.at(np.where(left_ok, at - back, 0), double).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [K.signed(h.at(w.first[:-1], w.count)[w.row_of()[at]]), K.signed(grams[at]), pa.array((at - begin[at]).astype(np.int32)), pa.array(left, mask=~left_ok), pa.array(right, mask=~right_ok)],
+                    [K.signed(K.row_hashes(word, w.first)[w.row_of()[at]]), K.signed(grams[at]), pa.array((at - begin[at]).astype(np.int32)), pa.array(left, mask=~left_ok), pa.array(right, mask=~right_ok)],
                     names=["c1", "h", "at", "left", "right"],
                 )
 
