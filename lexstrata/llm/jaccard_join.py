@@ -2,49 +2,63 @@
 
 Documents are sets of distinct word shingles; two link at Jaccard >= ``percent``/100.
 
-1. Equal sets are one class (two set hashes and the size); its smallest doc_id leads it.
-2. A first, cheap round links near copies to a common leader: leaders of equal min-hash
-   values that agree on most of twelve, verified exactly.  It decides nothing alone; it
-   only lets the exact round below skip pairs that are connected already.
-3. Exact candidates.  Order all shingles by (frequent or not, hash).  Two linked sets
-   share a shingle among the first n - ceil(n * percent / 100) + 1 of each, whatever the
-   order; putting frequent shingles last keeps shared passages out of these prefixes.
-   Classes with a common prefix shingle form a block, unless all are in one component.
-4. In a block a signature tree is built: a node holds the OR of its sets' bitmaps, the
-   range of their sizes, and the most bits lost to collisions.  Two trees are traversed
-   together; a pair of nodes goes when its size ranges exclude a link or when common
-   bits plus lost bits cannot reach the overlap that the smallest sizes need.  Blocks
-   over ``block_rows`` are dealt by size band and hash to pairs of parts, the top level
-   of the tree, of which those with incompatible size ranges are never made.  The pairs
-   left are counted over their blocks: that is how many prefix shingles they share, and
-   with all of a set's rest it must still reach the overlap.
-5. What is left is verified on whole texts, and components are taken over all links.
-
-Neither the pairs of a group of copies nor a whole group is ever gathered: blocks are
-bounded, copies are collapsed, and connected classes are not paired.
+1. Equal sets are one class (two set hashes and the size).
+2. Leader rounds, cheap: of the classes with an equal min-hash one is the head, first the
+   one that agrees with most others, then a random one; those that agree with it on most
+   of twelve are verified exactly.  These rounds decide nothing alone.  They only make
+   groups of near copies one component, whose members need not be paired any more.
+3. Screen.  A linked pair shares a shingle among the first n - ceil(n * percent / 100) + 1
+   of each, in whatever order of all shingles.  Take the shingles of one zone of the hash
+   range first: a class that has so many of them that no other component holds can link
+   to nothing outside its component.  Most are settled so.
+4. Exact candidates among the rest.  Shingles are counted there and ordered rarest first;
+   classes of different components and sizes that may link, with a common shingle in that
+   prefix, form its block.
+5. In a block a signature tree is built: bitmaps as wide as their sets are large, sets
+   ordered by size and min-hash so that nodes hold similar ones; a node has the OR of its
+   bitmaps, its range of sizes, and the most bits lost to collisions.  Two trees are
+   traversed together; a pair of nodes goes when its sizes exclude a link or when common
+   bits plus lost bits cannot reach the overlap that the smallest sizes need.  A pair of
+   sets must also reach it with what follows the block's shingle in both orders, and is
+   left to the block of an earlier common shingle.  Blocks over ``block_rows`` are dealt
+   by size band and hash to pairs of parts, the top level of the tree.
+6. What is left is verified on whole texts, and components are taken over all links.
+
+Counts are pre-aggregated and come back by joins of written tables, which adaptive
+execution splits where a shingle is hot; copies are collapsed, and connected classes are
+not paired.  No group is ever gathered in one task or in the driver.
 
 Defined cases: null, empty and blank texts have the empty set, which links with nothing;
-rows that share a doc_id are one node of the graph; a null doc_id leads no class but
-takes its class's component (null if all ids of the class are null); further columns
-are ignored.
+rows that share a doc_id are one node of the graph, so their classes are one component; a
+null doc_id takes the component of its class, but links no further (null if all ids of
+the class are null); further columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import kernels as K
 from .components import connected
 from .scratch import Scratch
 
 MINHASHES = 12
-BITS = 1024
-#: Frequent shingles at most: each is in more than a 2**-18 part of all prefix entries.
-FREQUENT_LIMIT = 1 << 18
-_LEAF = 32
+#: Equal min-hashes that make a leader pair worth verifying.
+AGREE = 7
+LEADER_ROUNDS = 2
+#: Part of the hash range that the screen looks at; a prefix is a little over a quarter of a set.
+ZONE = 0.36
+#: Bitmaps have 4 bits a shingle or more, up to 8 kB (then fewer; sparse ones exclude less, never more).
+BITS_PER_SHINGLE, MAX_BITS = 4, 1 << 16
+#: First shared shingles of a set by which repeated pairs are told.
+HEAD = 16
+_FAN = 4
+_SMALL = 32  # blocks up to this size are one leaf
+_CHUNK = 1 << 15
 
 
 class Sets:
@@ -75,13 +89,13 @@ class Sets:
         return K.mix(K.row_sums(K.mix(self.token ^ np.uint64(seed)), self.first) + self.n.astype(np.uint64))
 
 
-def _prefix(n: np.ndarray, percent: int) -> np.ndarray:
-    """How many first shingles of a set must meet those of any set that it links with."""
-    return np.where(n > 0, n + (-(n * percent) // 100) + 1, 0)
+def _zone() -> np.uint64:
+    return np.uint64(int(ZONE * 2**64))
 
 
 def _summaries(k: int):
-    """Documents -> set size, two set hashes, min-hashes, bitmap."""
+    """Documents -> set size, shingles in the zone, two set hashes, min-hashes."""
+    zone = _zone()
 
     def run(batches):
         for batch in batches:
@@ -89,84 +103,52 @@ def _summaries(k: int):
                 s = Sets(data, offsets, k)
                 full = np.flatnonzero(s.n > 0)
                 mh = np.zeros((s.rows, MINHASHES), np.uint64)
-                bits = np.zeros((s.rows, BITS // 8), np.uint8)
                 if len(full):
                     for j in range(MINHASHES):
                         mh[full, j] = np.minimum.reduceat(s.token * np.uint64(0x9E3779B97F4A7C15 + 0x51ED2701 * 2 * j), s.first[full])
-                    bit = K.mix(s.token + np.uint64(0xB175)) % np.uint64(BITS)
-                    flat = np.zeros(s.rows * BITS, bool)
-                    flat[s.row * BITS + bit.astype(np.int64)] = True
-                    bits = np.packbits(flat.reshape(s.rows, BITS), axis=1)
-                ids = batch.column(0).slice(first, last - first)
+                inside = K.row_sums((s.token < zone).astype(np.int64), s.first)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(s.rows + 1, dtype=np.int32) * MINHASHES), K.signed(mh.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([ids, batch.column(2).slice(first, last - first), pa.array(s.n.astype(np.int64)), K.signed(s.signature(1)), K.signed(s.signature(2)), lists, pa.array([b.tobytes() for b in bits], pa.binary())], names=["doc_id", "key", "n", "s1", "s2", "mh", "bits"])
+                ids, keys = (batch.column(c).slice(first, last - first) for c in (0, 2))
+                yield pa.RecordBatch.from_arrays([ids, keys, pa.array(s.n.astype(np.int64)), pa.array(inside), K.signed(s.signature(1)), K.signed(s.signature(2)), lists], names=["doc_id", "key", "n", "z", "s1", "s2", "mh"])
 
     return run
 
 
-def _in_prefix(s: Sets, percent: int, late: np.ndarray, seen: np.ndarray | None) -> np.ndarray:
-    """Mask of the shingles in the prefix of their set; those in ``late`` (sorted) come last.
-
-    ``seen``: what the low bits of late shingles may be, which spares most lookups.
-    """
-    length = _prefix(s.n, percent)[s.row]
-    place = np.arange(len(s.row)) - s.first[s.row]
-    if not len(late):
-        return place < length
-    hot = np.zeros(len(s.row), bool)
-    maybe = np.flatnonzero(seen[s.token & np.uint64(len(seen) - 1)])
-    at = np.minimum(np.searchsorted(late, s.token[maybe]), len(late) - 1)
-    hot[maybe] = late[at] == s.token[maybe]
-    before = np.zeros(len(hot) + 1, np.int64)
-    np.cumsum(hot, out=before[1:])
-    hot_before = before[:-1] - before[s.first[s.row]]
-    cool = s.n[s.row] - (before[s.first[s.row + 1]] - before[s.first[s.row]])
-    return np.where(hot, cool + hot_before, place - hot_before) < length
-
-
-def _frequent(k: int, percent: int, chunk: int = 1 << 20):
-    """Documents -> (token, count) of prefix shingles that a task meets twice or more.
-
-    A shingle in more prefixes than there are chunks of rows is met twice in one of them.
-    """
+def _shingles(k: int, zone: np.uint64 | None):
+    """(text, cls, component) -> (token, cls, component) for the shingles below ``zone``, or all."""
 
     def run(batches):
-        held, size = [], 0
-
-        def flush():
-            token, count = np.unique(np.concatenate(held), return_counts=True)
-            again = count > 1
-            return pa.RecordBatch.from_arrays([K.signed(token[again]), pa.array(count[again].astype(np.int64))], names=["token", "count"])
-
         for batch in batches:
-            for _, _, data, offsets in K.pieces(batch.column(0)):
+            for first, last, data, offsets in K.pieces(batch.column(0)):
                 s = Sets(data, offsets, k)
-                own = s.token[_in_prefix(s, percent, s.token[:0], None)]
-                held.append(own)
-                size += len(own)
-                if size >= chunk:
-                    yield flush()
-                    held, size = [], 0
-        if size:
-            yield flush()
+                token, row = s.token, s.row
+                if zone is not None:
+                    inside = token < zone
+                    token, row = token[inside], row[inside]
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays([K.signed(token), *(batch.column(c).slice(first, last - first).take(at) for c in (1, 2))], names=["token", "cls", "component"])
 
     return run
 
 
-def _prefixes(k: int, percent: int, frequent):
-    """Documents -> (token, s1) for the prefix of each set; frequent (sorted hashes) go last."""
+def bitmap(tokens: np.ndarray) -> bytes:
+    """A set's bitmap: a power of two of bits, at least 64."""
+    bits = 64
+    while bits < BITS_PER_SHINGLE * len(tokens) and bits < MAX_BITS:
+        bits *= 2
+    out = np.zeros(bits, bool)
+    out[(K.mix(tokens + np.uint64(0xB175)) & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(out, bitorder="little").tobytes()
+
+
+def _bitmaps(k: int):
+    """(text, cls) -> (cls, bits)."""
 
     def run(batches):
-        late = frequent.value
-        seen = np.zeros(1 << 22, bool)
-        seen[late & np.uint64(len(seen) - 1)] = True
         for batch in batches:
-            for _, _, data, offsets in K.pieces(batch.column(0)):
+            for first, last, data, offsets in K.pieces(batch.column(0)):
                 s = Sets(data, offsets, k)
-                if not len(s.row):
-                    continue
-                keep = _in_prefix(s, percent, late, seen)
-                yield pa.RecordBatch.from_arrays([K.signed(s.token[keep]), K.signed(s.signature(1)[s.row[keep]])], names=["token", "s1"])
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(first, last - first), pa.array([bitmap(s.row_set(r)) for r in range(s.rows)], pa.binary())], names=["cls", "bits"])
 
     return run
 
@@ -193,108 +175,182 @@ def _row_sets(piece, k: int):
     return [s.row_set(r) for r in range(s.rows)]
 
 
+class Signatures:
+    """Bitmaps of different widths (words of 64 bits), one after the other, with their set sizes."""
+
+    def __init__(self, bits: list[bytes], n: np.ndarray):
+        self.words = np.frombuffer(b"".join(bits), np.uint64)
+        self.width = np.array([len(b) // 8 for b in bits], np.int64)
+        self.start = np.cumsum(self.width) - self.width
+        self.n = n
+
+    def folded(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """Bitmaps of rows, wider ones folded to ``width`` words (bits are hashes modulo the width)."""
+        out = np.zeros((len(rows), width), np.uint64)
+        for own in np.unique(self.width[rows]).tolist():
+            at = np.flatnonzero(self.width[rows] == own)
+            raw = self.words[self.start[rows[at], None] + np.arange(own)]
+            out[at] = np.bitwise_or.reduce(raw.reshape(len(at), own // width, width), axis=1)
+        return out
+
+    def may_link(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+        """Whether the bitmaps of rows i and j leave room for the overlap that a link needs."""
+        ok = np.zeros(len(i), bool)
+        width = np.minimum(self.width[i], self.width[j])
+        for w in np.unique(width).tolist():
+            own = np.flatnonzero(width == w)
+            step = max(1, (1 << 20) // w)
+            for lo in range(0, len(own), step):
+                at = own[lo : lo + step]
+                a, b = self.folded(i[at], w), self.folded(j[at], w)
+                count = lambda x: np.bitwise_count(x).sum(1, dtype=np.int64)
+                bound = count(a & b) + np.minimum(self.n[i[at]] - count(a), self.n[j[at]] - count(b))
+                ok[at] = (100 + percent) * bound >= percent * (self.n[i[at]] + self.n[j[at]])
+        return ok
+
+
 class Tree:
-    """Signature tree over one part of a block: level 0 are its sets, each level above ORs ``_LEAF``."""
+    """Signature tree over sets in the order given: level 0 are the sets, each level above ORs ``_FAN``."""
 
-    def __init__(self, bits: np.ndarray, n: np.ndarray, lost: np.ndarray):
+    def __init__(self, bits: np.ndarray, n: np.ndarray):
+        lost = n - np.bitwise_count(bits).sum(1, dtype=np.int64)
         self.levels = [(bits, n, n, lost)]
-        while len(self.levels[-1][0]) > _LEAF:
+        while len(self.levels[-1][0]) > _FAN:
             b, lo, hi, c = self.levels[-1]
-            cut = np.arange(0, len(b), _LEAF)
+            cut = np.arange(0, len(b), _FAN)
             self.levels.append((np.bitwise_or.reduceat(b, cut, 0), np.minimum.reduceat(lo, cut), np.maximum.reduceat(hi, cut), np.maximum.reduceat(c, cut)))
 
+    def level(self, i: int):
+        return self.levels[min(i, len(self.levels) - 1)]
+
 
 def _possible(x, i, y, j, percent: int) -> np.ndarray:
     """Whether some set below node i of level x may link with one below node j of level y."""
     ok = (100 * x[2][i] >= percent * y[1][j]) & (100 * y[2][j] >= percent * x[1][i])
     i, j = i[ok], j[ok]
-    common = np.bitwise_count(x[0][i] & y[0][j]).sum(1, dtype=np.int64) + np.minimum(x[3][i], y[3][j])
-    ok[ok] = (100 + percent) * common >= percent * (x[1][i] + y[1][j])
+    step, bound = max(1, (1 << 20) // x[0].shape[1]), np.zeros(len(i), np.int64)
+    for lo in range(0, len(i), step):
+        p, q = i[lo : lo + step], j[lo : lo + step]
+        bound[lo : lo + step] = np.bitwise_count(x[0][p] & y[0][q]).sum(1, dtype=np.int64) + np.minimum(x[3][p], y[3][q])
+    ok[ok] = (100 + percent) * bound >= percent * (x[1][i] + y[1][j])
     return ok
 
 
-def _dual(x: Tree, y: Tree, percent: int, same: bool):
-    """Pairs of sets that no node pair above them excludes; with ``same`` only i < j."""
-    depth = max(len(x.levels), len(y.levels)) - 1
-    top = lambda t: min(depth, len(t.levels) - 1)
-    i, j = (a.reshape(-1) for a in np.meshgrid(np.arange(len(x.levels[top(x)][0])), np.arange(len(y.levels[top(y)][0])), indexing="ij"))
-    for level in range(depth, -1, -1):
-        a, b = x.levels[min(level, top(x))], y.levels[min(level, top(y))]
-        out_i, out_j = [], []
-        for lo in range(0, len(i), 1 << 16):  # bounds the temporaries
-            p, q = i[lo : lo + (1 << 16)], j[lo : lo + (1 << 16)]
-            if same:
-                p, q = p[p <= q], q[p <= q]
-            ok = _possible(a, p, b, q, percent)
-            out_i.append(p[ok])
-            out_j.append(q[ok])
-        i, j = (np.concatenate(o) if o else np.zeros(0, np.int64) for o in (out_i, out_j))
-        if level:
-            i, j = _children(i, j, len(x.levels[min(level - 1, top(x))][0]) if level <= top(x) else None, len(y.levels[min(level - 1, top(y))][0]) if level <= top(y) else None)
-    if same:
-        i, j = i[i < j], j[i < j]
-    return i, j
-
-
-def _children(i, j, below_x, below_y):
-    """Node pairs one level down; a tree that is lower keeps its node."""
-    for which, below in ((0, below_x), (1, below_y)):
-        if below is None:
+def dual(x: Tree, y: Tree, percent: int, same: bool):
+    """Chunks of pairs of sets that no node pair above them excludes; with ``same`` only i < j."""
+    top = max(len(x.levels), len(y.levels)) - 1
+    i, j = (a.reshape(-1) for a in np.meshgrid(np.arange(len(x.level(top)[0])), np.arange(len(y.level(top)[0])), indexing="ij"))
+    stack = [(top, i, j)]
+    while stack:
+        level, i, j = stack.pop()
+        if same:
+            keep = i <= j if level else i < j
+            i, j = i[keep], j[keep]
+        ok = _possible(x.level(level), i, y.level(level), j, percent)
+        i, j = i[ok], j[ok]
+        if not len(i):
+            continue
+        if not level:
+            yield i, j
             continue
-        own = (i, j)[which]
-        kids = (own[:, None] * _LEAF + np.arange(_LEAF)).reshape(-1)
-        other = np.repeat((j, i)[which], _LEAF)
-        ok = kids < below
-        i, j = (kids[ok], other[ok]) if which == 0 else (other[ok], kids[ok])
-    return i, j
+        for lo in range(0, len(i), _CHUNK // _FAN**2):  # depth first, so the frontier stays small
+            p, q = i[lo : lo + _CHUNK // _FAN**2], j[lo : lo + _CHUNK // _FAN**2]
+            if level < len(x.levels):
+                p, q = _down(p, q, len(x.levels[level - 1][0]))
+            if level < len(y.levels):
+                q, p = _down(q, p, len(y.levels[level - 1][0]))
+            stack.append((level - 1, p, q))
+
+
+def _down(own: np.ndarray, other: np.ndarray, below: int):
+    kids = (own[:, None] * _FAN + np.arange(_FAN)).reshape(-1)
+    ok = kids < below
+    return kids[ok], np.repeat(other, _FAN)[ok]
+
+
+class Block:
+    """Rows of one or more blocks, as arrays."""
+
+    def __init__(self, t: pa.Table):
+        column = lambda c: t.column(c).to_numpy()
+        self.cls, self.component, self.n, self.rank, self.pos, self.side = (column(c) for c in ("cls", "component", "n", "rank", "pos", "side"))
+        self.key = np.stack([column(c) for c in ("token", "pa", "pb")])
+        self.sig = Signatures(t.column("bits").to_pylist(), self.n)
+        self.near = np.array(t.column("mh").to_pylist(), np.int64).reshape(t.num_rows, -1)
+        heads = t.column("head").to_pylist()
+        self.head = np.zeros((t.num_rows, HEAD), np.int64)
+        self.heads = np.array([len(h) for h in heads], np.int64)
+        for r, h in enumerate(heads):
+            self.head[r, : len(h)] = h
+
+    def cheap(self, i, j, percent: int) -> np.ndarray:
+        """Different components, and what follows the block's shingle in both orders is enough."""
+        left = np.minimum(self.n[i] - self.rank[i], self.n[j] - self.rank[j])
+        return (self.component[i] != self.component[j]) & ((100 + percent) * left >= percent * (self.n[i] + self.n[j]))
+
+    def first_here(self, i, j) -> np.ndarray:
+        """False where both sets are known to share an earlier shingle of their prefixes."""
+        ok = np.ones(len(i), bool)
+        for lo in range(0, len(i), 1 << 12):
+            p, q = i[lo : lo + (1 << 12)], j[lo : lo + (1 << 12)]
+            same = self.head[p][:, :, None] == self.head[q][:, None, :]
+            place = np.arange(HEAD)
+            same &= (place < np.minimum(self.heads[p], self.pos[p])[:, None])[:, :, None]
+            same &= (place < self.heads[q][:, None])[:, None, :]
+            ok[lo : lo + (1 << 12)] = ~same.any((1, 2))
+        return ok
+
+    def pairs(self, i, j) -> pa.RecordBatch:
+        ok = self.first_here(i, j)
+        i, j = self.cls[i[ok]], self.cls[j[ok]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
+
+    def small(self, percent: int, starts: np.ndarray, m: int):
+        """Pairs within blocks of ``m`` rows that begin at ``starts``: a leaf each."""
+        u, v = np.triu_indices(m, 1)
+        step = max(1, _CHUNK // len(u))
+        for lo in range(0, len(starts), step):
+            part = starts[lo : lo + step, None]
+            i, j = (part + u).reshape(-1), (part + v).reshape(-1)
+            ok = self.cheap(i, j, percent)
+            i, j = i[ok], j[ok]
+            ok = self.sig.may_link(i, j, percent)
+            yield self.pairs(i[ok], j[ok])
+
+    def trees(self, percent: int, lo: int, hi: int):
+        """Pairs of a larger block, by dual traversal of one tree for each width (and side)."""
+        rows = lo + np.lexsort((*self.near[lo:hi].T[::-1], np.log2(self.n[lo:hi]).astype(int)))
+        same = self.side[lo] == 2
+        sides = (rows, rows) if same else tuple(rows[self.side[rows] == s] for s in (0, 1))
+        left, right = ({w: s[self.sig.width[s] == w] for w in np.unique(self.sig.width[s]).tolist()} for s in sides)
+        for w, p in left.items():
+            for v, q in right.items():
+                if (same and v < w) or max(v, w) > 2 * min(v, w):  # linked sets are at most a third larger
+                    continue
+                at = min(v, w)
+                x = Tree(self.sig.folded(p, at), self.n[p])
+                y = x if same and v == w else Tree(self.sig.folded(q, at), self.n[q])
+                for i, j in dual(x, y, percent, x is y):
+                    ok = self.cheap(p[i], q[j], percent)
+                    yield self.pairs(p[i[ok]], q[j[ok]])
 
 
 def _block_pairs(percent: int):
-    """Rows sorted by (token, part a, part b) -> candidate pairs (a, b), once per block, not connected yet.
+    """Rows sorted by (token, part a, part b) -> candidate pairs (a, b) of classes not connected yet.
 
     A block's rows carry side 0 (in part a), 1 (in part b) or 2 (both are the same part).
     """
 
-    def pairs(t: pa.Table):
-        key = np.stack([t.column(c).to_numpy() for c in ("token", "pa", "pb")])
-        cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
+    def found(t: pa.Table):
+        block = Block(t)
+        cut = np.flatnonzero((block.key[:, 1:] != block.key[:, :-1]).any(0)) + 1
         cut = np.concatenate([[0], cut, [t.num_rows]])
-        lead, comp, n, side = (t.column(c).to_numpy() for c in ("leader", "component", "n", "side"))
-        raw = b"".join(t.column("bits").to_pylist())
-        bits = np.frombuffer(raw, np.uint64).reshape(t.num_rows, BITS // 64)
-        lost = n - np.bitwise_count(bits).sum(1, dtype=np.int64)
-        size = np.diff(cut)
-        out = []
-        for m in np.unique(size[(size > 1) & (size <= _LEAF)]):  # one leaf each: all blocks of a size at once
-            at = cut[:-1][(size == m) & (side[cut[:-1]] == 2)]
-            u, v = np.triu_indices(m, 1)
-            for lo in range(0, len(at), max(1, (1 << 18) // len(u))):
-                part = at[lo : lo + max(1, (1 << 18) // len(u)), None]
-                i, j = (part + u).reshape(-1), (part + v).reshape(-1)
-                ok = comp[i] != comp[j]
-                i, j = i[ok], j[ok]
-                leaf = (bits, n, n, lost)
-                ok = _possible(leaf, i, leaf, j, percent)
-                out.append((i[ok], j[ok]))
-        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
-            if hi - lo < 2 or (hi - lo <= _LEAF and side[lo] == 2):
-                continue
-            at = lo + np.lexsort((comp[lo:hi], n[lo:hi]))
-            if side[lo] == 2:
-                tree = Tree(bits[at], n[at], lost[at])
-                i, j = _dual(tree, tree, percent, True)
-                i, j = at[i], at[j]
-            else:
-                p, q = at[side[at] == 0], at[side[at] == 1]
-                if not len(p) or not len(q):
-                    continue
-                i, j = _dual(Tree(bits[p], n[p], lost[p]), Tree(bits[q], n[q], lost[q]), percent, False)
-                i, j = p[i], q[j]
-            ok = comp[i] != comp[j]
-            out.append((i[ok], j[ok]))
-        i, j = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 2
-        low, high = np.minimum(lead[i], lead[j]), np.maximum(lead[i], lead[j])
-        return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+        size, start = np.diff(cut), cut[:-1]
+        leaf = (size <= _SMALL) & (block.side[start] == 2)
+        for m in np.unique(size[leaf & (size > 1)]).tolist():
+            yield from block.small(percent, start[leaf & (size == m)], m)
+        for b in np.flatnonzero(~leaf & (size > 1)):
+            yield from block.trees(percent, cut[b], cut[b + 1])
 
     def run(batches):
         held = None
@@ -308,21 +364,25 @@ def _block_pairs(percent: int):
             same = np.all([held.column(c).to_numpy() == v for c, v in zip(("token", "pa", "pb"), last, strict=True)], axis=0)
             begin = int(np.argmax(same))
             if begin:
-                yield pairs(held.slice(0, begin))
+                yield from found(held.slice(0, begin))
                 held = held.slice(begin)
         if held is not None:
-            yield pairs(held)
+            yield from found(held)
 
     return run
 
 
+def _band(percent: int) -> Column:
+    """Linked sets are one band apart at most."""
+    return F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("int")
+
+
 def _blocks(posts: DataFrame, block_rows: int, percent: int) -> DataFrame:
-    """Deal blocks over ``block_rows`` to pairs of parts; side says in which a row is."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("int")  # linked sets: one band apart at most
+    """Deal blocks over ``block_rows`` (of m rows) to pairs of parts; side says in which a row is."""
     parts = F.ceil(F.col("m") / block_rows).cast("int")
-    own = F.col("band") * F.lit(1 << 20) + F.pmod(F.xxhash64("leader"), F.col("parts")).cast("int")
+    own = F.col("band") * F.lit(1 << 20) + F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
     small = posts.where(F.col("m") <= block_rows).select("*", F.lit(0).alias("pa"), F.lit(0).alias("pb"), F.lit(2).alias("side"))
-    big = posts.where(F.col("m") > block_rows).withColumn("band", band).withColumn("parts", parts).withColumn("own", own)
+    big = posts.where(F.col("m") > block_rows).withColumn("band", _band(percent)).withColumn("parts", parts).withColumn("own", own)
     other = F.flatten(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: (F.col("band") + d) * F.lit(1 << 20) + p)))
     big = big.withColumn("other", F.explode(other)).select(
         *posts.columns,
@@ -333,69 +393,142 @@ def _blocks(posts: DataFrame, block_rows: int, percent: int) -> DataFrame:
     return small.unionByName(big)
 
 
-def link_near_copies(docs: DataFrame, k: int = 5, percent: int = 75, block_rows: int = 4096) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id."""
-    spark = docs.sparkSession
-    tmp = Scratch(spark, "jaccard")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    docs = docs.withColumn("key", F.xxhash64("text"))
-    sums = tmp.save(docs.mapInArrow(_summaries(k), "doc_id long, key long, n long, s1 long, s2 long, mh array<long>, bits binary"), "sums")
-    # a leader's text is found by doc_id and key
-    best = F.min(F.struct("doc_id", "key"))
-    classes = sums.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(best.alias("l"), F.first("mh").alias("mh"), F.first("bits").alias("bits"))
-    classes = tmp.save(classes.select(F.col("l.doc_id").alias("leader"), F.col("l.key").alias("key"), "s1", "s2", "n", "mh", "bits"), "classes")
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        texts = docs.join(classes.select(F.col("leader").alias("doc_id"), "key"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        texts = tmp.save(texts.join(ids, "doc_id").select("doc_id", "text"), f"{name}-texts")
-        both = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a").join(texts.withColumnsRenamed({"doc_id": "b", "text": "tb"}), "b")
-        edges = tmp.save(both.select("a", "b", "ta", "tb").mapInArrow(_verify(k, percent), "a long, b long"), name)
-        tmp.drop(f"{name}-texts")
+def _apart(rows: DataFrame, *by: str) -> DataFrame:
+    """Keys that rows of two components have, with their number of rows m."""
+    both = rows.groupBy(*by).agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m"))
+    return both.where("x != y").select(*by, "m")
+
+
+class _Join:
+    """One run over documents; every step is a written table."""
+
+    def __init__(self, docs: DataFrame, k: int, percent: int, block_rows: int):
+        self.tmp, self.k, self.percent, self.block_rows = Scratch(docs.sparkSession, "jaccard"), k, percent, block_rows
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        self.docs = docs.withColumn("key", F.xxhash64("text"))
+        self.need = F.ceil(F.col("n") * percent / 100)
+
+    def classes(self) -> None:
+        save, tmp = self.tmp.save, self.tmp
+        self.sums = save(self.docs.mapInArrow(_summaries(self.k), "doc_id long, key long, n long, z long, s1 long, s2 long, mh array<long>"), "sums")
+        named = self.sums.where("n > 0 and doc_id is not null")
+        # the text of a class is found by doc_id and key
+        made = named.groupBy("s1", "s2", "n", "z").agg(F.min(F.struct("doc_id", "key")).alias("l"), F.first("mh").alias("mh"))
+        made = save(made.select(F.col("l.doc_id").alias("leader"), F.col("l.key").alias("key"), "s1", "s2", "n", "z", "mh"), "classes-0")
+        made = save(made.withColumn("cls", F.monotonically_increasing_id()), "classes")
+        tmp.drop("classes-0")
+        self.made = made
+        found = self.docs.join(made.select(F.col("leader").alias("doc_id"), "key", "cls", "n"), ["doc_id", "key"])
+        self.texts = save(found.dropDuplicates(["doc_id", "key", "cls"]).select("cls", "n", "text"), "texts")
+        # a doc_id with several texts joins their classes
+        name = F.struct("s1", "s2", "n")
+        several = named.groupBy("doc_id").agg(F.min(name).alias("x"), F.max(name).alias("y")).where("x != y").select("doc_id")
+        several = save(named.join(several, "doc_id").select("doc_id", "s1", "s2", "n").distinct().join(made.select("s1", "s2", "n", "cls"), ["s1", "s2", "n"]).select("doc_id", "cls"), "several")
+        hub = several.groupBy("doc_id").agg(F.min("cls").alias("a"))
+        self.edges = several.join(hub, "doc_id").where("a != cls").select("a", F.col("cls").alias("b"))
+
+    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        texts = self.tmp.save(self.texts.join(ids, "cls").select("cls", "text"), f"{name}-texts")
+        both = pairs.join(texts.withColumnsRenamed({"cls": "a", "text": "ta"}), "a").join(texts.withColumnsRenamed({"cls": "b", "text": "tb"}), "b")
+        edges = self.tmp.save(both.select("a", "b", "ta", "tb").mapInArrow(_verify(self.k, self.percent), "a long, b long"), name)
+        self.tmp.drop(f"{name}-texts")
         return edges
 
-    # near copies that share a min-hash with their leader
-    keyed = tmp.save(classes.select("leader", F.posexplode(F.slice("mh", 1, 8)).alias("j", "h")), "minhashes")
-    heads = tmp.save(keyed.groupBy("j", "h").agg(F.min("leader").alias("head"), F.max("leader").alias("x")).where("head != x").select("j", "h", "head"), "heads")
-    near = tmp.save(keyed.join(heads, ["j", "h"]).where("leader != head").select("leader", "head").distinct(), "near")
-    agree = F.aggregate(F.zip_with("mh", "mh2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)
-    near = near.join(classes.select("leader", "mh"), "leader").join(classes.select(F.col("leader").alias("head"), F.col("mh").alias("mh2")), "head")
-    near = tmp.save(near.where(agree >= 7).select(F.col("leader").alias("a"), F.col("head").alias("b")), "near-pairs")
-    edges = verified(near, "edges-1")
-    labels = connected(edges, tmp, "cc1")
-    known = classes.join(labels.withColumnRenamed("node", "leader"), "leader", "left").withColumn("component", F.coalesce("component", "leader"))
-    known = tmp.save(known.select("leader", "s1", "n", "bits", "component"), "known")
-    tmp.drop("minhashes", "heads", "near", "near-pairs")
-
-    # exact candidates: prefix shingles met by sets of different components
-    total = sums.where("n > 0").agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
-    often = max(64, total // FREQUENT_LIMIT)
-    hot = docs.select("text").mapInArrow(_frequent(k, percent), "token long, count long").groupBy("token").agg(F.sum("count").alias("n"))
-    hot = hot.where(F.col("n") > often).select("token")
-    hot = spark.sparkContext.broadcast(np.sort(K.unsigned(hot.toArrow().column("token"))))  # FREQUENT_LIMIT entries at most
-    rows = tmp.save(docs.select("text").mapInArrow(_prefixes(k, percent, hot), "token long, s1 long"), "prefixes")
-    met = tmp.save(rows.groupBy("token").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x != y").select("token"), "met")
-    posts = tmp.save(rows.join(met, "token").distinct(), "met-rows")
-    tmp.drop("prefixes")
-    posts = tmp.save(posts.join(known.select("s1", "leader", "component"), "s1").select("token", "leader", "component"), "posts")
-    met = posts.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x != y").select("token", "m")
-    met = tmp.save(met, "open")
-    posts = tmp.save(posts.join(met, "token"), "open-posts")
-    posts = posts.join(known.select("leader", "n", "bits"), "leader")
-    blocks = _blocks(posts, block_rows, percent).select("token", "pa", "pb", "side", "leader", "component", "n", "bits")
-    blocks = blocks.repartition("token", "pa", "pb").sortWithinPartitions("token", "pa", "pb")
-    # as many blocks as shingles common to both prefixes; beyond those, one set's rest may be common
-    pairs = blocks.mapInArrow(_block_pairs(percent), "a long, b long").groupBy("a", "b").agg(F.count("*").alias("common"))
-    size = known.select("leader", "n", (F.ceil(F.col("n") * percent / 100) - 1).alias("rest"))
-    for end in ("a", "b"):
-        pairs = pairs.join(size.select(F.col("leader").alias(end), F.col("n").alias(f"n_{end}"), F.col("rest").alias(f"rest_{end}")), end)
-    bound = (F.col("common") + F.greatest("rest_a", "rest_b")) * (100 + percent)
-    pairs = tmp.save(pairs.where(bound >= (F.col("n_a") + F.col("n_b")) * percent).select("a", "b"), "pairs")
-    edges = edges.union(verified(pairs, "edges-2"))
-    labels = connected(edges, tmp, "cc2")
-    final = classes.join(labels.withColumnRenamed("node", "leader"), "leader", "left").select("s1", "s2", "n", F.coalesce("component", "leader").alias("component"))
-    final = tmp.save(final, "final")
-    return sums.select("doc_id", "n", "s1", "s2").join(final, ["s1", "s2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    def label(self, name: str) -> None:
+        """Classes with their component, by the edges known so far."""
+        labels = connected(self.edges, self.tmp, name)
+        named = self.made.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+        self.known = self.tmp.save(named.select("cls", "leader", "n", "z", F.coalesce("component", "cls").alias("component")), f"known-{name}")
+
+    def leader_rounds(self) -> None:
+        save = self.tmp.save
+        keyed = self.made.select("cls", F.posexplode("mh").alias("j", "h"))
+        groups = keyed.groupBy("j", "h").agg(F.count("*").alias("m")).where("m > 1")
+        keyed = save(keyed.join(groups, ["j", "h"]), "minhashes")
+        if keyed.isEmpty():
+            return
+        sizes = save(keyed.groupBy("cls").agg(F.sum("m").alias("mates")), "mates")
+        agree = F.aggregate(F.zip_with("mh", "mh2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)
+        for turn in range(LEADER_ROUNDS):
+            now = keyed.select("cls", "j", "h").join(self.known.select("cls", "component"), "cls")
+            if turn:
+                now = now.withColumn("mates", F.xxhash64("cls", F.lit(turn)))
+            else:
+                now = now.join(sizes, "cls")
+            now = save(now, f"leaders-{turn}")
+            heads = now.groupBy("j", "h").agg(F.max(F.struct("mates", "cls", "component")).alias("head"), F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
+            near = now.join(heads.select("j", "h", F.col("head.cls").alias("b"), F.col("head.component").alias("c")), ["j", "h"]).where("component != c")
+            near = save(near.select(F.col("cls").alias("a"), "b").distinct(), f"near-{turn}")
+            near = near.join(self.made.select(F.col("cls").alias("a"), "mh"), "a").join(self.made.select(F.col("cls").alias("b"), F.col("mh").alias("mh2")), "b")
+            near = save(near.where(agree >= AGREE).select("a", "b"), f"near-pairs-{turn}")
+            new = self.verified(near, f"edges-{turn}")
+            self.tmp.drop(f"leaders-{turn}", f"near-{turn}", f"near-pairs-{turn}")
+            if new.isEmpty():
+                break
+            self.edges = self.edges.union(new)
+            self.label(f"cc{turn}")
+        self.tmp.drop("minhashes", "mates")
+
+    def open_texts(self) -> DataFrame:
+        """Texts of the classes that the screen doesn't settle."""
+        save = self.tmp.save
+        rows = self.texts.select("cls", "text").join(self.known.select("cls", "component"), "cls").select("text", "cls", "component")
+        rows = save(rows.mapInArrow(_shingles(self.k, _zone()), "token long, cls long, component long"), "zone")
+        met = save(_apart(rows, "token").select("token"), "zone-met")
+        shared = save(rows.join(met, "token").groupBy("cls").agg(F.count("*").alias("shared")), "zone-shared")
+        self.tmp.drop("zone", "zone-met")
+        left = self.known.join(shared, "cls").where(F.col("z") - F.col("shared") < F.col("n") - self.need + 1)
+        # a class without any shared shingle in the zone may have too few of them to tell
+        few = self.known.join(shared, "cls", "left_anti").where(F.col("z") < F.col("n") - self.need + 1)
+        left = left.select("cls", "component").union(few.select("cls", "component"))
+        return save(self.texts.join(left, "cls").select("text", "cls", "component", "n"), "open")
+
+    def candidates(self) -> DataFrame:
+        save = self.tmp.save
+        texts = self.open_texts()
+        rows = save(texts.select("text", "cls", "component").mapInArrow(_shingles(self.k, None), "token long, cls long, component long"), "rows")
+        met = save(_apart(rows, "token"), "met")
+        shared = rows.join(met, "token").join(texts.select("cls", "n"), "cls")
+        order = Window.partitionBy("cls").orderBy("m", "token")
+        own = Window.partitionBy("cls")
+        # shingles that no other component has come first
+        rank = (F.col("n") - F.count("*").over(own) + F.row_number().over(order) - 1).alias("rank")
+        posts = shared.select("token", "cls", "component", "n", rank).where(F.col("rank") < F.col("n") - self.need + 1)
+        posts = save(posts.withColumn("band", _band(self.percent)), "posts-0")
+        self.tmp.drop("rows", "met")
+        # a block needs sets of two components and of sizes that may link
+        bands = posts.groupBy("token", "band").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        bands = bands.select("token", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band"), "x", "y")
+        bands = bands.groupBy("token", "band").agg(F.min("x").alias("x"), F.max("y").alias("y")).where("x != y").select("token", "band")
+        posts = save(posts.join(bands, ["token", "band"]).drop("band"), "posts-1")
+        posts = save(posts.withColumn("pos", F.row_number().over(Window.partitionBy("cls").orderBy("rank")) - 1), "posts")
+        heads = posts.where(F.col("pos") < HEAD).groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("h")).select("cls", F.col("h.token").alias("head"))
+        heads = save(heads, "heads")  # a row for each class that has posts
+        bits = texts.join(heads.select("cls"), "cls").select("text", "cls").mapInArrow(_bitmaps(self.k), "cls long, bits binary")
+        signatures = save(bits.join(heads, "cls").join(self.made.select("cls", F.slice("mh", 1, 3).alias("mh")), "cls"), "signatures")
+        sizes = posts.groupBy("token").agg(F.count("*").alias("m"))
+        blocks = _blocks(posts.join(sizes, "token").join(signatures, "cls"), self.block_rows, self.percent)
+        blocks = blocks.select("token", "pa", "pb", "side", "cls", "component", "n", "rank", "pos", "head", "mh", "bits")
+        blocks = blocks.repartition("token", "pa", "pb").sortWithinPartitions("token", "pa", "pb")
+        return save(blocks.mapInArrow(_block_pairs(self.percent), "a long, b long").distinct(), "pairs")
+
+    def run(self) -> DataFrame:
+        self.classes()
+        self.label("cc")
+        self.leader_rounds()
+        self.edges = self.edges.union(self.verified(self.candidates(), "edges-exact"))
+        self.label("last")
+        first = self.known.groupBy("component").agg(F.min("leader").alias("component_id"))
+        named = self.made.select("cls", "s1", "s2", "n").join(self.known.select("cls", "component"), "cls").join(first, "component")
+        named = self.tmp.save(named.select("s1", "s2", "n", "component_id"), "named")
+        out = self.sums.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left")
+        return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def link_near_copies(docs: DataFrame, k: int = 5, percent: int = 75, block_rows: int = 4096) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id."""
+    return _Join(docs, k, percent, block_rows).run()
 
 
 K.ship(__name__)

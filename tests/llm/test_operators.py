@@ -459,3 +459,34 @@ def test_empty_table_and_all_null(spark, apply):
     assert apply(frame(spark, []), spark).count() == 0
     nulls = spark.createDataFrame([(None,) * 14] * 2, SCHEMA)
     assert apply(nulls, spark).count() == 2
+
+
+def thue_morse(n, a, b):
+    return [a if bin(i).count("1") % 2 == 0 else b for i in range(n)]
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_structured_words_and_texts_have_different_hashes(size):
+    words = ["".join(thue_morse(size, *p)) for p in ("ab", "ba")]
+    texts = [" ".join(thue_morse(size, *p)) for p in (("x", "y"), ("y", "x"))]
+    for seed in (11, 12, 21, 22, 31, 41):
+        _, _, data, offsets = next(K.pieces(pa.array(words), 1 << 20))
+        h = K.Words(data, offsets).hashes(seed)
+        assert h[0] != h[1]
+        _, _, data, offsets = next(K.pieces(pa.array(texts), 1 << 20))
+        w = K.Words(data, offsets)
+        h = w.hashes(seed)
+        assert len(set(K.row_hashes(h, w.first).tolist())) == 2
+        assert len(set(K.Windows(h).at(w.first[:-1], size).tolist())) == 2
+
+
+def test_structured_texts_are_no_copies(spark):
+    words = ["".join(thue_morse(1024, *p)) for p in ("ab", "ba")]
+    docs = [(i, " ".join([w, *(f"w{j}" for j in range(i, i + 60))])) for i, w in enumerate(words)]
+    docs += [(10 + i, " ".join(thue_morse(2048, *p))) for i, p in enumerate((("x", "y"), ("y", "x")))]
+    out = substring_dedup.remove_repeats(frame(spark, docs))
+    assert as_dict(out, "n_words", "n_removed", "kept_sha256") == brute.op1(docs)
+    items = spark.createDataFrame([(1, words[0]), (2, docs[2][1])], "item_id long, text string")
+    out = as_dict(decontaminate.find_contamination(frame(spark, docs), items), "n_words", "n_hit")
+    expected = brute.op10(docs, [(1, words[0]), (2, docs[2][1])])
+    assert out == {k: v[:2] for k, v in expected.items()}
