@@ -28,12 +28,11 @@ def connected(edges: DataFrame, tmp: Scratch, name: str = "cc") -> DataFrame:
         step += 1
         hook = live.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("up"))
         hook = tmp.save(hook, f"{name}-hook-{step}")
-        for k in range(2):
-            above = hook.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            hook = tmp.save(hook.join(above, "up").select("node", F.col("top").alias("up")), f"{name}-hook-{step}-{k}")
-        to = lambda c: hook.select(F.col("node").alias(c), F.col("up").alias(f"{c}2"))
+        double = lambda h: h.join(h.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", F.col("top").alias("up"))
+        far = tmp.save(double(double(hook)), f"{name}-far-{step}")
+        to = lambda c: far.select(F.col("node").alias(c), F.col("up").alias(f"{c}2"))
         labels = tmp.save(labels.join(to("component"), "component", "left").select("node", F.coalesce("component2", "component").alias("component")), f"{name}-labels-{step}")
         live = live.join(to("a"), "a").join(to("b"), "b").where("a2 != b2").select(F.col("a2").alias("a"), F.col("b2").alias("b")).distinct()
         live = tmp.save(live, f"{name}-edges-{step}")
-        tmp.drop(f"{name}-edges-{step - 1}", f"{name}-labels-{step - 1}", f"{name}-hook-{step}", f"{name}-hook-{step}-0", f"{name}-hook-{step}-1")
+        tmp.drop(f"{name}-edges-{step - 1}", f"{name}-labels-{step - 1}", f"{name}-hook-{step}", f"{name}-far-{step}")
     return labels

@@ -3,10 +3,10 @@
 Documents are sets of distinct word shingles; two link at Jaccard >= ``percent``/100.
 
 1. Equal sets are one class (two set hashes and the size).
-2. Leader rounds, cheap: of the classes with an equal min-hash one is the head, first the
-   one that agrees with most others, then a random one; those that agree with it on most
-   of twelve are verified exactly.  These rounds decide nothing alone.  They only make
-   groups of near copies one component, whose members need not be paired any more.
+2. A leader round, cheap: of the classes with an equal min-hash two are heads, the one
+   that agrees with most others and a random one; those that agree with a head on most
+   of twelve are verified exactly.  This decides nothing alone.  It only makes groups of
+   near copies one component, whose members need not be paired any more.
 3. Screen.  A linked pair shares a shingle among the first n - ceil(n * percent / 100) + 1
    of each, in whatever order of all shingles.  Take the shingles of one zone of the hash
    range first: a class that has so many of them that no other component holds can link
@@ -49,7 +49,6 @@ from .scratch import Scratch
 MINHASHES = 12
 #: Equal min-hashes that make a leader pair worth verifying.
 AGREE = 7
-LEADER_ROUNDS = 2
 #: Part of the hash range that the screen looks at; a prefix is a little over a quarter of a set.
 ZONE = 0.36
 #: Bitmaps have 4 bits a shingle or more, up to 8 kB (then fewer; sparse ones exclude less, never more).
@@ -409,23 +408,25 @@ class _Join:
         self.need = F.ceil(F.col("n") * percent / 100)
 
     def classes(self) -> None:
-        save, tmp = self.tmp.save, self.tmp
+        save = self.tmp.save
         self.sums = save(self.docs.mapInArrow(_summaries(self.k), "doc_id long, key long, n long, z long, s1 long, s2 long, mh array<long>"), "sums")
         named = self.sums.where("n > 0 and doc_id is not null")
         # the text of a class is found by doc_id and key
         made = named.groupBy("s1", "s2", "n", "z").agg(F.min(F.struct("doc_id", "key")).alias("l"), F.first("mh").alias("mh"))
-        made = save(made.select(F.col("l.doc_id").alias("leader"), F.col("l.key").alias("key"), "s1", "s2", "n", "z", "mh"), "classes-0")
-        made = save(made.withColumn("cls", F.monotonically_increasing_id()), "classes")
-        tmp.drop("classes-0")
+        made = made.select(F.monotonically_increasing_id().alias("cls"), F.col("l.doc_id").alias("leader"), F.col("l.key").alias("key"), "s1", "s2", "n", "z", "mh")
+        made = save(made, "classes")
         self.made = made
         found = self.docs.join(made.select(F.col("leader").alias("doc_id"), "key", "cls", "n"), ["doc_id", "key"])
         self.texts = save(found.dropDuplicates(["doc_id", "key", "cls"]).select("cls", "n", "text"), "texts")
+        self.known = made.select("cls", "leader", "n", "z", F.col("cls").alias("component"))
         # a doc_id with several texts joins their classes
         name = F.struct("s1", "s2", "n")
         several = named.groupBy("doc_id").agg(F.min(name).alias("x"), F.max(name).alias("y")).where("x != y").select("doc_id")
-        several = save(named.join(several, "doc_id").select("doc_id", "s1", "s2", "n").distinct().join(made.select("s1", "s2", "n", "cls"), ["s1", "s2", "n"]).select("doc_id", "cls"), "several")
-        hub = several.groupBy("doc_id").agg(F.min("cls").alias("a"))
-        self.edges = several.join(hub, "doc_id").where("a != cls").select("a", F.col("cls").alias("b"))
+        several = save(named.join(several, "doc_id").select("doc_id", "s1", "s2", "n").distinct(), "several")
+        if not several.isEmpty():
+            several = save(several.join(made.select("s1", "s2", "n", "cls"), ["s1", "s2", "n"]).select("doc_id", "cls"), "several-classes")
+            hub = several.groupBy("doc_id").agg(F.min("cls").alias("a"))
+            self.link(several.join(hub, "doc_id").where("a != cls").select("a", F.col("cls").alias("b")), "cc-several")
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
@@ -435,40 +436,32 @@ class _Join:
         self.tmp.drop(f"{name}-texts")
         return edges
 
-    def label(self, name: str) -> None:
-        """Classes with their component, by the edges known so far."""
-        labels = connected(self.edges, self.tmp, name)
-        named = self.made.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-        self.known = self.tmp.save(named.select("cls", "leader", "n", "z", F.coalesce("component", "cls").alias("component")), f"known-{name}")
+    def link(self, edges: DataFrame, name: str) -> None:
+        """Merge the components that edges between classes connect."""
+        of = lambda c: self.known.select(F.col("cls").alias(c), F.col("component").alias(f"{c}2"))
+        between = edges.join(of("a"), "a").join(of("b"), "b").select(F.col("a2").alias("a"), F.col("b2").alias("b"))
+        labels = connected(between, self.tmp, name).select(F.col("node").alias("component"), F.col("component").alias("merged"))
+        known = self.known.join(labels, "component", "left")
+        self.known = self.tmp.save(known.select("cls", "leader", "n", "z", F.coalesce("merged", "component").alias("component")), f"known-{name}")
 
-    def leader_rounds(self) -> None:
+    def leader_round(self) -> None:
         save = self.tmp.save
         keyed = self.made.select("cls", F.posexplode("mh").alias("j", "h"))
         groups = keyed.groupBy("j", "h").agg(F.count("*").alias("m")).where("m > 1")
         keyed = save(keyed.join(groups, ["j", "h"]), "minhashes")
         if keyed.isEmpty():
             return
-        sizes = save(keyed.groupBy("cls").agg(F.sum("m").alias("mates")), "mates")
+        mates = save(keyed.groupBy("cls").agg(F.sum("m").alias("mates")), "mates")
+        heads = keyed.join(mates, "cls").groupBy("j", "h").agg(F.max(F.struct("mates", "cls"))["cls"].alias("x"), F.max(F.struct(F.xxhash64("cls"), "cls"))["cls"].alias("y"))
+        near = keyed.join(heads, ["j", "h"]).select(F.col("cls").alias("a"), F.explode(F.array("x", "y")).alias("b")).where("a != b").distinct()
+        near = save(near, "near")
         agree = F.aggregate(F.zip_with("mh", "mh2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)
-        for turn in range(LEADER_ROUNDS):
-            now = keyed.select("cls", "j", "h").join(self.known.select("cls", "component"), "cls")
-            if turn:
-                now = now.withColumn("mates", F.xxhash64("cls", F.lit(turn)))
-            else:
-                now = now.join(sizes, "cls")
-            now = save(now, f"leaders-{turn}")
-            heads = now.groupBy("j", "h").agg(F.max(F.struct("mates", "cls", "component")).alias("head"), F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-            near = now.join(heads.select("j", "h", F.col("head.cls").alias("b"), F.col("head.component").alias("c")), ["j", "h"]).where("component != c")
-            near = save(near.select(F.col("cls").alias("a"), "b").distinct(), f"near-{turn}")
-            near = near.join(self.made.select(F.col("cls").alias("a"), "mh"), "a").join(self.made.select(F.col("cls").alias("b"), F.col("mh").alias("mh2")), "b")
-            near = save(near.where(agree >= AGREE).select("a", "b"), f"near-pairs-{turn}")
-            new = self.verified(near, f"edges-{turn}")
-            self.tmp.drop(f"leaders-{turn}", f"near-{turn}", f"near-pairs-{turn}")
-            if new.isEmpty():
-                break
-            self.edges = self.edges.union(new)
-            self.label(f"cc{turn}")
-        self.tmp.drop("minhashes", "mates")
+        near = near.join(self.made.select(F.col("cls").alias("a"), "mh"), "a").join(self.made.select(F.col("cls").alias("b"), F.col("mh").alias("mh2")), "b")
+        near = save(near.where(agree >= AGREE).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
+        edges = self.verified(near, "edges-near")
+        self.tmp.drop("minhashes", "mates", "near", "near-pairs")
+        if not edges.isEmpty():
+            self.link(edges, "cc-near")
 
     def open_texts(self) -> DataFrame:
         """Texts of the classes that the screen doesn't settle."""
@@ -501,7 +494,7 @@ class _Join:
         bands = posts.groupBy("token", "band").agg(F.min("component").alias("x"), F.max("component").alias("y"))
         bands = bands.select("token", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band"), "x", "y")
         bands = bands.groupBy("token", "band").agg(F.min("x").alias("x"), F.max("y").alias("y")).where("x != y").select("token", "band")
-        posts = save(posts.join(bands, ["token", "band"]).drop("band"), "posts-1")
+        posts = posts.join(bands, ["token", "band"]).drop("band")
         posts = save(posts.withColumn("pos", F.row_number().over(Window.partitionBy("cls").orderBy("rank")) - 1), "posts")
         heads = posts.where(F.col("pos") < HEAD).groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("h")).select("cls", F.col("h.token").alias("head"))
         heads = save(heads, "heads")  # a row for each class that has posts
@@ -515,10 +508,10 @@ class _Join:
 
     def run(self) -> DataFrame:
         self.classes()
-        self.label("cc")
-        self.leader_rounds()
-        self.edges = self.edges.union(self.verified(self.candidates(), "edges-exact"))
-        self.label("last")
+        self.leader_round()
+        edges = self.verified(self.candidates(), "edges-exact")
+        if not edges.isEmpty():
+            self.link(edges, "cc-exact")
         first = self.known.groupBy("component").agg(F.min("leader").alias("component_id"))
         named = self.made.select("cls", "s1", "s2", "n").join(self.known.select("cls", "component"), "cls").join(first, "component")
         named = self.tmp.save(named.select("s1", "s2", "n", "component_id"), "named")

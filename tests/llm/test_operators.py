@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import brute
+import numpy as np
 import pyarrow as pa
 import pytest
 from lexstrata.llm import decontaminate, jaccard_join, language_id, license_scan, lm_score, packing, pii, quality, substring_dedup, url_filter
@@ -108,24 +109,74 @@ def test_jaccard_join_large_blocks_are_dealt(spark):
     assert got == brute.op5(some)
 
 
-def test_jaccard_tree_excludes_nothing_that_links():
-    import numpy as np
+def tree_of(sets):
+    sig = jaccard_join.Signatures([jaccard_join.bitmap(np.sort(x)) for x in sets], np.array([len(x) for x in sets]))
+    return jaccard_join.Tree(sig.folded(np.arange(len(sets)), int(sig.width.min())), sig.n), sig
 
+
+def test_jaccard_tree_excludes_nothing_that_links():
     rng = np.random.default_rng(3)
+    tokens = K.mix(np.arange(5000, dtype=np.uint64))
     base = rng.integers(0, 5000, (6, 150))
-    sets = [set(np.where(rng.random(150) < 0.1, rng.integers(0, 5000, 150), base[i % 6]).tolist()) for i in range(200)]
-    bits = np.zeros((200, jaccard_join.BITS), bool)
-    for r, s in enumerate(sets):
-        bits[r, [x * 2654435761 % jaccard_join.BITS for x in s]] = True
-    packed = np.packbits(bits, axis=1).view(np.uint64)
-    n = np.array([len(s) for s in sets])
-    tree = jaccard_join.Tree(packed, n, n - bits.sum(1))
-    i, j = jaccard_join._dual(tree, tree, 75, True)
-    kept = set(zip(i.tolist(), j.tolist(), strict=True))
-    linked = {(a, b) for a in range(200) for b in range(a + 1, 200) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    sets = [np.unique(tokens[np.where(rng.random(150) < 0.1, rng.integers(0, 5000, 150), base[i * 6 // 200])]) for i in range(200)]
+    tree, sig = tree_of(sets)
+    kept = {p for i, j in jaccard_join.dual(tree, tree, 75, True) for p in zip(i.tolist(), j.tolist(), strict=True)}
+    i, j = np.triu_indices(200, 1)
+    assert kept == {p for p, ok in zip(zip(i.tolist(), j.tolist(), strict=True), sig.may_link(i, j, 75), strict=True) if ok}
+    both = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
+    linked = {(a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if 175 * both(a, b) >= 75 * (len(sets[a]) + len(sets[b]))}
     assert linked and linked <= kept and len(kept) < 200 * 199 // 4
 
 
+@pytest.mark.parametrize("size", [60, 300, 800, 2000, 5000, 20_000])
+def test_jaccard_tree_prunes_disjoint_nodes(size):
+    """Two groups of near copies without a common shingle: their nodes go, from the top."""
+    rng = np.random.default_rng(size)
+    groups = [K.mix(np.arange(g * 10 * size, g * 10 * size + size, dtype=np.uint64)) for g in range(1, 3)]
+    sets = [np.unique(np.where(rng.random(size) < 0.02, rng.integers(0, 1 << 62, size).astype(np.uint64), g)) for g in groups for _ in range(16)]
+    tree, _ = tree_of(sets)
+    seen = 0
+    for level in range(1, len(tree.levels)):
+        nodes = len(tree.levels[level][0])
+        half = 16 // 4**level
+        if 2 * half != nodes or not half:
+            continue
+        i, j = (x.reshape(-1) for x in np.meshgrid(np.arange(half), np.arange(half, nodes)))
+        assert not jaccard_join._possible(tree.levels[level], i, tree.levels[level], j, 75).any()
+        seen += len(i)
+    assert seen
+    kept = [p for i, j in jaccard_join.dual(tree, tree, 75, True) for p in zip(i.tolist(), j.tolist(), strict=True)]
+    assert kept and all((a < 16) == (b < 16) for a, b in kept)
+
+
+def test_jaccard_bitmaps_of_other_widths_fold():
+    rng = np.random.default_rng(1)
+    base = K.mix(np.arange(70, dtype=np.uint64))
+    sets = [np.sort(base[: rng.integers(50, 71)]) for _ in range(30)]
+    sig = jaccard_join.Signatures([jaccard_join.bitmap(x) for x in sets], np.array([len(x) for x in sets]))
+    assert len(set(sig.width.tolist())) > 1
+    i, j = np.triu_indices(30, 1)
+    ok = sig.may_link(i, j, 75)
+    for a, b, kept in zip(i, j, ok, strict=True):
+        assert kept or 175 * len(np.intersect1d(sets[a], sets[b])) < 75 * (len(sets[a]) + len(sets[b]))
+
+
+def test_jaccard_rows_of_one_id_are_one_node(spark):
+    x, y = prose(40), prose(50)
+    out = jaccard_join.link_near_copies(frame(spark, [(3, x), (5, x), (5, y), (7, y), (8, prose(30))])).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in out) == [(3, 3), (5, 3), (5, 3), (7, 3), (8, 8)]
+
+
+def test_jaccard_chains_of_boilerplate(spark):
+    """Documents mixed from a few passages: frequent shingles everywhere, links only where the mixes agree."""
+    rng = random.Random(5)
+    passages = [prose(40, rng) for _ in range(8)]
+    docs = [(i, " ".join(rng.sample(passages, 4))) for i in range(80)] + [(100 + i, " ".join([*passages[:3], prose(3 + i % 9, rng)])) for i in range(60)]
+    for rows in (4096, 6):
+        got = as_dict(jaccard_join.link_near_copies(frame(spark, docs), block_rows=rows), "n_shingles", "component_id")
+        assert got == brute.op5(docs)
+
+
 def test_jaccard_repeated_rows_and_null_id(spark):
     text = prose(40)
     out = jaccard_join.link_near_copies(frame(spark, [(5, text), (5, text), (None, text), (9, text)])).collect()
