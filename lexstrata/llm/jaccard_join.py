@@ -452,8 +452,12 @@ class _Join:
         if keyed.isEmpty():
             return
         mates = save(keyed.groupBy("cls").agg(F.sum("m").alias("mates")), "mates")
-        heads = keyed.join(mates, "cls").groupBy("j", "h").agg(F.max(F.struct("mates", "cls"))["cls"].alias("x"), F.max(F.struct(F.xxhash64("cls"), "cls"))["cls"].alias("y"))
-        near = keyed.join(heads, ["j", "h"]).select(F.col("cls").alias("a"), F.explode(F.array("x", "y")).alias("b")).where("a != b").distinct()
+        most, random = F.max(F.struct("mates", "cls")).alias("most"), F.max(F.struct(F.xxhash64("cls"), "cls")).alias("random")
+        heads = keyed.join(mates, "cls").groupBy("j", "h").agg(most, random)
+        # of the heads of its twelve groups a class takes the one with most mates and one by hash
+        best = lambda c: F.max(F.when(F.col(c)["cls"] != F.col("cls"), F.col(c)))["cls"]
+        near = keyed.join(heads, ["j", "h"]).groupBy("cls").agg(F.array(best("most"), best("random")).alias("b"))
+        near = near.select(F.col("cls").alias("a"), F.explode(F.array_distinct("b")).alias("b")).where("b is not null")
         near = save(near, "near")
         agree = F.aggregate(F.zip_with("mh", "mh2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)
         near = near.join(self.made.select(F.col("cls").alias("a"), "mh"), "a").join(self.made.select(F.col("cls").alias("b"), F.col("mh").alias("mh2")), "b")
