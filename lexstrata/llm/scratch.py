@@ -12,21 +12,28 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_CLEANUP = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+_BATCHES = ("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """The folder named by ``spark.checkpoint.dir``; a local one of our own only where that is
+    unset and all runs in this process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="lexstrata-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of two megabytes at most, so that long texts don't pile up in workers."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
+    """Arrow batches of two megabytes at most, so that long texts don't pile up in workers.
+
+    For plans that are handed to the caller; ``Scratch.save`` does so for its own run only.
+    """
+    spark.conf.set(*_BATCHES)
 
 
 class Scratch:
@@ -37,17 +44,19 @@ class Scratch:
         self.base = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return it as a scan; its shuffle files go as soon as it is written."""
+        """Write ``df`` and return it as a scan; its shuffle files go as soon as it is written, Arrow batches are small."""
         path = f"{self.base}/{name}"
-        before = self.spark.conf.get(_CLEANUP, None)
-        self.spark.conf.set(_CLEANUP, "true")
+        before = {k: self.spark.conf.get(k, None) for k, _ in (_CLEANUP, _BATCHES)}
+        self.spark.conf.set(*_CLEANUP)
+        self.spark.conf.set(*_BATCHES)
         try:
             df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         finally:
-            if before is None:
-                self.spark.conf.unset(_CLEANUP)
-            else:
-                self.spark.conf.set(_CLEANUP, before)
+            for key, value in before.items():
+                if value is None:
+                    self.spark.conf.unset(key)
+                else:
+                    self.spark.conf.set(key, value)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
