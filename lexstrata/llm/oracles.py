@@ -42,8 +42,9 @@ c AS (SELECT doc_id, host, len(w) AS n_words, length(array_to_string(w, '')) AS
   coalesce(lines.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c),
 h AS (SELECT host, count(*) AS n, sum(base_failed::INT) AS failed FROM b WHERE host IS NOT NULL GROUP BY host),
-m AS (SELECT least(greatest(sum(failed) / sum(n), 1e-6), 1 - 1e-6) AS mean, var_pop(failed / n) AS v FROM h),
-k AS (SELECT mean, least(greatest(CASE WHEN v > 0 THEN mean * (1 - mean) / v - 1 ELSE 1 END, 1), 1e6) AS weight FROM m),
+m AS (SELECT least(greatest(sum(failed) / sum(n), 1e-6), 1 - 1e-6) AS mean FROM h),
+q AS (SELECT any_value(mean) AS mean, sum((failed - n * mean) ** 2 - n * (mean * (1 - mean))) / (any_value(mean) * (1 - any_value(mean)) * nullif(sum(n::DOUBLE * (n - 1)), 0)) AS r FROM h, m),
+k AS (SELECT mean, CASE WHEN coalesce(r, 0) <= 1 / (1e6 + 1) THEN 1e6 ELSE greatest(1 / r - 1, 1.0) END AS weight FROM q),
 rate AS (SELECT host, (failed + mean * weight) / (n + weight) AS rate FROM h, k)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(rate, 0) < 0.5 AS kept FROM b LEFT JOIN rate USING (host)"""
 

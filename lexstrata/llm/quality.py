@@ -2,12 +2,12 @@
 
 Each document gets its rule counts in one narrow pass.  Failures are aggregated by host
 (pre-aggregated before the shuffle, so a hot host is one row per task), host rates are
-shrunk by a beta prior fitted to the rates of all hosts by moments, and hosts whose
+shrunk by a beta-binomial prior fitted to all hosts, by size, by moments, and hosts whose
 shrunk rate reaches ``reject_rate`` reject their documents.  Host verdicts return by a
 join of two written tables, whose hot keys adaptive execution can split.
 
 Defined cases: null text has no words (and fails); a null host has no host verdict; with
-a single host, or hosts that all have one rate, the prior is weak (one document's worth);
+a single host, or hosts that differ by no more than chance, the prior is strong;
 repeated rows are judged and counted each on their own; null doc_id is kept; further
 columns are ignored.
 """
@@ -23,6 +23,8 @@ from .scratch import Scratch
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
+#: Bounds of the prior's weight, in documents.
+MIN_WEIGHT, MAX_WEIGHT = 1.0, 1e6
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -73,15 +75,20 @@ def rule_counts(docs: DataFrame, host: str, repeat_window: int = 5) -> DataFrame
 
 
 def beta_prior(hosts: DataFrame) -> tuple[float, float]:
-    """(alpha, beta) by moments of the host rates (n, failed), each host counting once."""
-    rate = F.col("failed") / F.col("n")
-    row = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v"), F.sum("failed").alias("f"), F.sum("n").alias("n")).first()
-    if row["m"] is None:
+    """(alpha, beta) of a beta-binomial, by moments of the hosts (n, failed).
+
+    The spread of failures around n * mean, less what binomial noise alone gives, is the
+    correlation r within hosts; the prior weighs 1 / r - 1 documents.  Hosts that don't
+    differ beyond that noise have a prior of ``MAX_WEIGHT``.
+    """
+    n, failed = F.col("n").cast("double"), F.col("failed").cast("double")
+    total = hosts.agg(F.sum(n).alias("n"), F.sum(failed).alias("f")).first()
+    if not total["n"]:
         return 0.5, 0.5
-    mean = min(max(row["f"] / row["n"], 1e-6), 1 - 1e-6)
-    spread = row["v"] or 0.0
-    weight = mean * (1 - mean) / spread - 1 if spread > 0 else 1.0
-    weight = min(max(weight, 1.0), 1e6)
+    mean = min(max(total["f"] / total["n"], 1e-6), 1 - 1e-6)
+    row = hosts.agg(F.sum((failed - n * mean) * (failed - n * mean) - n * (mean * (1 - mean))).alias("over"), F.sum(n * (n - 1)).alias("pairs")).first()
+    r = row["over"] / (mean * (1 - mean) * row["pairs"]) if row["pairs"] else 0.0
+    weight = MAX_WEIGHT if r <= 1 / (MAX_WEIGHT + 1) else max(1 / r - 1, MIN_WEIGHT)
     return mean * weight, (1 - mean) * weight
 
 
