@@ -7,8 +7,9 @@ form a graph of urls without fragment and scheme; block decisions spread over it
 connected components.  A url's own rule, an explicit allow above all, comes first; then a
 block from an alias; otherwise the url is allowed.
 
-The graph holds only pages that declare an alias.  Rules are a parameter list and become
-one expression; ``MAX_RULES`` bounds it.
+The graph holds only pages that declare an alias.  Rules are a parameter list: a few become
+one expression; more than ``EXPRESSION_RULES`` become a table that is joined with the
+host's suffixes and the path's prefixes of the lengths that rules have.
 
 Defined cases: null url or one without ``://`` has empty host and path, no rule, no
 alias; null html has no links; repeated rows are judged each on their own; a link to the
@@ -31,7 +32,7 @@ from . import kernels as K
 from .components import connected
 from .scratch import Scratch
 
-MAX_RULES = 2000
+EXPRESSION_RULES = 500
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ATTR = r"""\s*=\s*["']?\s*"""
 _CANONICAL = (
@@ -61,17 +62,37 @@ def node_of(url: Column) -> Column:
     return F.when(host_of(url) != "", F.concat(F.lit("x://"), host_of(url), rest))
 
 
+_DECISION = "struct<rule:string,verdict:string>"
+
+
 def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
     """Struct (rule, verdict) of the rule that decides, or null."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    found = F.lit(None).cast("struct<rule:string,verdict:string>")
+    found = F.lit(None).cast(_DECISION)
     for verdict, at, prefix in sorted(rules, key=lambda r: (len(r[1] + r[2]), len(r[1]))):
         fits = ((host == at) | host.endswith("." + at)) & path.startswith(prefix)
         found = F.when(fits, F.struct(F.lit(at + prefix).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(found)
     return found
 
 
+def with_rule(rows: DataFrame, rules: list[tuple[str, str, str]], tmp: Scratch, name: str) -> DataFrame:
+    """``rows`` (host, path, ..) with ``own``, the rule that decides each."""
+    if len(rules) <= EXPRESSION_RULES:
+        return rows.withColumn("own", rule_for(F.col("host"), F.col("path"), rules))
+    spark = rows.sparkSession
+    ranked = [(len(h + p), len(h), i, v, h, p) for i, (v, h, p) in enumerate(rules)]
+    table = spark.createDataFrame(ranked, "size int, host_size int, i int, verdict string, at string, prefix string")
+    table = tmp.save(table.repartition(max(1, len(rules) // 100_000)), f"{name}-rules")
+    lengths = F.array(*(F.lit(n) for n in sorted({len(p) for _, _, p in rules})))
+    names = tmp.save(rows.select("host", "path").distinct(), f"{name}-names")
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.array_join(F.slice(labels, n, F.size(labels)), "."))
+    starts = F.transform(F.filter(lengths, lambda n: n <= F.char_length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
+    tried = names.select("host", "path", F.explode(suffixes).alias("at"), starts.alias("starts")).select("host", "path", "at", F.explode("starts").alias("prefix"))
+    best = tried.join(table, ["at", "prefix"]).groupBy("host", "path").agg(F.max(F.struct("size", "host_size", "i", F.concat("at", "prefix").alias("rule"), "verdict")).alias("b"))
+    best = tmp.save(best.select("host", "path", F.struct("b.rule", "b.verdict").alias("own")), f"{name}-best")
+    return rows.join(best, ["host", "path"], "left")
+
+
 def _links(html: Column) -> Column:
     """Targets of canonical links and refreshes in a page."""
     none = F.array().cast("array<string>")
@@ -119,17 +140,18 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], redirects:
     """
     tmp = Scratch(pages.sparkSession, "urls")
     url, html = F.col("url").cast("string"), F.col("html").cast("string")
-    own = rule_for(F.col("host"), F.col("path"), rules)
     rows = pages.select("page_id", url.alias("url"), html.alias("html"))
     links = rows.select("url", F.explode(_links(F.col("html"))).alias("link")).mapInArrow(_targets, "a string, b string")
     if redirects is not None:
         links = links.union(redirects.select(F.col("from_url").cast("string").alias("a"), F.col("to_url").cast("string").alias("b")))
     edges = tmp.save(links.select(node_of(F.col("a")).alias("a"), node_of(F.col("b")).alias("b")).where("a is not null and b is not null and a != b").distinct(), "aliases")
-    rows = rows.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).withColumn("own", own)
+    rows = rows.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    rows = with_rule(rows, rules, tmp, "pages")
     blocked = F.lit(False)
     if not edges.isEmpty():
         labels = connected(edges, tmp)
-        state = labels.select("node", "component", rule_for(host_of(F.col("node")), path_of(F.col("node")), rules)["verdict"].alias("v"))
+        state = labels.select("node", "component", host_of(F.col("node")).alias("host"), path_of(F.col("node")).alias("path"))
+        state = with_rule(state, rules, tmp, "nodes").select("node", "component", F.col("own.verdict").alias("v"))
         bad = state.groupBy("component").agg(F.max(F.coalesce(F.col("v") == "block", F.lit(False))).alias("blocked"))
         spread = tmp.save(state.join(bad, "component").where("blocked").select(F.col("node"), "blocked"), "blocked")
         rows = rows.withColumn("node", node_of(F.col("url"))).join(spread, "node", "left")
