@@ -6,6 +6,12 @@ what is shuffled is (label, bucket) sums.  The log-probability matrix (labels x
 its size is checked) is broadcast, and documents are scored as sparse count rows in
 numpy: gather the matrix rows of a document's n-grams, sum them per document.
 
+N-grams of one text overlap and repeat, so the sum of their log-probabilities is far too
+sure of itself.  The score is the posterior that ``EVIDENCE`` of the text's n-grams would
+give on average (all of them, if it has fewer), where text of no known language, with all
+buckets alike, is one more choice of prior ``UNKNOWN``: near 1 for plain text of a known
+language, low for mixed texts and for noise.  The predicted label is that of the full sum.
+
 Defined cases: text that is null or has no letter gives ``und`` with score 0; null
 labels are not learned from; with nothing to learn from every document is ``und``; a tie
 goes to the label first in order; null doc_id is kept; further columns are ignored.
@@ -13,6 +19,8 @@ goes to the label first in order; null doc_id is kept; further columns are ignor
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,6 +33,9 @@ from .scratch import bounded_batches
 UND = "und"
 #: Bytes that the broadcast matrix may have.
 MAX_MODEL_BYTES = 256 << 20
+#: Independent n-grams that a text counts for at most in its score.
+EVIDENCE = 30
+UNKNOWN = 0.01
 _STEP = 1 << 19
 
 
@@ -85,17 +96,18 @@ class Model:
         self.labels, self.logp, self.prior = labels, logp, prior
 
     def score(self, data: np.ndarray, offsets: np.ndarray, max_n: int, buckets: int) -> np.ndarray:
-        """Log-joint of each row and label."""
+        """Log-likelihood of each row and label, and the number of n-grams of each row."""
         codes, first = _codes(data, offsets)
-        out = np.tile(self.prior, (len(offsets) - 1, 1))
+        out, size = np.zeros((len(offsets) - 1, len(self.labels))), np.zeros(len(offsets) - 1, np.int64)
         for n in range(1, max_n + 1):
             at, bounds = _buckets(codes, first, n, buckets)
+            size += np.diff(bounds)
             for lo in range(0, len(at), _STEP):
                 hi = min(len(at), lo + _STEP)
                 cut = np.clip(bounds, lo, hi) - lo
                 for k in range(len(self.labels)):
                     out[:, k] += K.row_sums(self.logp[k][at[lo:hi]].astype(np.float64), cut)
-        return out
+        return out, size
 
 
 def train(labelled: DataFrame, max_n: int = 3, buckets: int = 1 << 15, alpha: float = 0.5) -> Model:
@@ -106,7 +118,7 @@ def train(labelled: DataFrame, max_n: int = 3, buckets: int = 1 << 15, alpha: fl
     priors = {r[0]: r[1] for r in rows.groupBy("label").count().limit(1 + MAX_MODEL_BYTES // (4 * buckets)).collect()}
     labels = sorted(priors)
     if len(labels) * buckets * 4 > MAX_MODEL_BYTES:
-        raise ValueError(f"{len(labels)} labels or more: the model would not fit the broadcast limit")
+        raise ValueError(f"{len(labels)} labels or more do not fit {MAX_MODEL_BYTES} bytes: train with fewer buckets (and predict with as many)")
     counts = np.zeros((len(labels), buckets))
     table = sums.toArrow()  # labels x buckets rows at most, checked above
     index = {x: k for k, x in enumerate(labels)}
@@ -127,9 +139,13 @@ def _predict(shared, max_n: int, buckets: int):
                 row = batch.column(0).slice(begin, end - begin)
                 letters = batch.column(2).slice(begin, end - begin).to_numpy(zero_copy_only=False).astype(bool)
                 if model.labels:
-                    joint = model.score(data, offsets, max_n, buckets)
-                    best = joint.argmax(1)
-                    score = 1 / np.exp(joint - joint.max(1, keepdims=True)).sum(1)
+                    likely, size = model.score(data, offsets, max_n, buckets)
+                    best = (model.prior + likely).argmax(1)
+                    counted = np.minimum(size, EVIDENCE)
+                    mild = model.prior + likely * (counted / np.maximum(size, 1))[:, None]
+                    unknown = math.log(UNKNOWN) - counted * math.log(buckets)
+                    other = np.concatenate([mild, unknown[:, None]], 1) - mild[np.arange(len(best)), best][:, None]
+                    score = 1 / np.exp(np.minimum(other, 700.0)).sum(1)
                     names = np.array([*model.labels, UND], object)[np.where(letters, best, len(model.labels))]
                     score = np.where(letters, score, 0.0)
                 else:
@@ -155,7 +171,7 @@ def annotate(docs: DataFrame, model: Model, row: Column, max_n: int = 3, buckets
 
 
 def predict(docs: DataFrame, model: Model, max_n: int = 3, buckets: int = 1 << 15) -> DataFrame:
-    """Per document: doc_id, lang_pred, score (posterior probability of lang_pred)."""
+    """Per document: doc_id, lang_pred, score (posterior of lang_pred on ``EVIDENCE`` n-grams)."""
     return annotate(docs, model, F.col("doc_id").cast("long"), max_n, buckets).withColumnRenamed("row", "doc_id")
 
 
