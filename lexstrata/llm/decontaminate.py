@@ -239,8 +239,9 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, gram:
         digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
         keyed = docs.select(digest.alias("key"), F.col("text").cast("string").alias("text"))
         found = _by_joins(tmp, keyed, "key", windows, window, gram)
-        hit = tmp.save(found.where("n_hit > 0").select(F.col("key").alias("_hit")).distinct(), "hit")
-        return docs.join(hit, digest == F.col("_hit"), "left_anti")
+        hit = tmp.save(found.where("n_hit > 0").select("key").distinct(), "hit")
+        whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+        return docs.select(digest.alias("key"), whole).join(hit, "key", "left_anti").select("row.*")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), *T._parse_datatype_string(_OUT).fields[1:]])
     return rows.mapInArrow(_scan(shared, window, gram), schema).where("n_hit = 0").select("doc_id.*")

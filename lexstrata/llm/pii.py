@@ -277,17 +277,19 @@ def redact(docs: DataFrame, accept: float = 0.5) -> DataFrame:
     each = found.select("doc_id", "key", F.explode("spans").alias("s")).select("doc_id", "key", "s.start", "s.end", "s.kind")
     before = Window.partitionBy("doc_id", "key").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
     each = each.withColumn("from", F.coalesce(F.max("end").over(before), F.lit(0)))
-    lists = each.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "from"))).alias("_spans"), F.max("end").alias("_end"))
+    lists = each.groupBy(F.col("doc_id").alias("id"), F.col("key").alias("of")).agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "from"))).alias("spans"), F.max("end").alias("end"))
     lists = tmp.save(lists, "spans")
-    key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"), text.alias("text"), whole)
     # the same join at every size: texts with spans are as many as the documents that have any
-    both = docs.withColumn("_own", key).join(lists.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left")
+    both = rows.join(lists.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("of")), "left")
 
     def rebuilt(chunks: Column) -> Column:
         mask = lambda x: F.concat(_cut(chunks, x["from"], x["start"]), F.lit("<"), x["kind"], F.lit(">"))
-        pieces = F.transform("_spans", lambda x: F.when(x["start"] >= x["from"], mask(x)).otherwise(""))
-        return F.concat(F.array_join(pieces, ""), _cut(chunks, F.col("_end"), F.char_length("text")))
+        pieces = F.transform("spans", lambda x: F.when(x["start"] >= x["from"], mask(x)).otherwise(""))
+        return F.concat(F.array_join(pieces, ""), _cut(chunks, F.col("end"), F.char_length("text")))
 
     chunks = F.regexp_extract_all(F.col("text"), F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(let(chunks, rebuilt))
-    return both.withColumn("text", text).select(*docs.columns)
+    clean = F.when(F.col("spans").isNull(), F.col("text")).otherwise(let(chunks, rebuilt))
+    return both.select(*(clean.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))

@@ -244,6 +244,7 @@ def test_language_id_equals_plain_naive_bayes(spark):
     out = language_id.predict(spark.createDataFrame([(1, "abx")], "doc_id long, text string"), model, 2, buckets).first()
     joint = [math.log({"aa": 2, "bb": 1}[k] / 3) + sum(math.log((counts[k][i] + alpha) / (sum(counts[k].values()) + alpha * buckets)) for i in ids("abx")) for k in ("aa", "bb")]
     assert out["lang_pred"] == "aa"
+    joint.append(math.log(language_id.UNKNOWN) - len(ids("abx")) * math.log(buckets))
     assert out["score"] == pytest.approx(1 / sum(math.exp(x - joint[0]) for x in joint), rel=1e-4)
 
 
@@ -541,3 +542,81 @@ def test_structured_texts_are_no_copies(spark):
     out = as_dict(decontaminate.find_contamination(frame(spark, docs), items), "n_words", "n_hit")
     expected = brute.op10(docs, [(1, words[0]), (2, docs[2][1])])
     assert out == {k: v[:2] for k, v in expected.items()}
+
+
+def test_quality_host_verdicts_reject_documents_that_pass(spark):
+    """Two sorts of hosts, some small: the shrunk rates decide as plain moments do."""
+    good, bad = prose(60), "spam " * 20
+    plan = {"a": (40, 1), "b": (30, 0), "c": (25, 24), "d": (50, 45), "e": (2, 1), "f": (1, 1), "g": (1, 0)}
+    rows, i = [], 0
+    for host, (n, failed) in plan.items():
+        for j in range(n):
+            rows.append((i, bad if j < failed else good, host))
+            i += 1
+    total, fails = sum(n for n, _ in plan.values()), sum(f for _, f in plan.values())
+    mean = fails / total
+    over = sum((f - n * mean) ** 2 - n * mean * (1 - mean) for n, f in plan.values())
+    weight = max(1.0, mean * (1 - mean) * sum(n * (n - 1) for n, _ in plan.values()) / over - 1)
+    rate = {h: (f + mean * weight) / (n + weight) for h, (n, f) in plan.items()}
+    out = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    for i, text, host in rows:
+        assert out[i]["host_rate"] == pytest.approx(rate[host])
+        assert out[i]["kept"] == (text == good and rate[host] < 0.5)
+    assert sum(not out[i]["kept"] for i, text, _ in rows if text == good) == 6
+
+
+def test_quality_prior_of_hosts_alike_is_strong(spark):
+    hosts = spark.createDataFrame([(f"h{i}", 10, 5) for i in range(50)], "host string, n long, failed long")
+    alpha, beta = quality.beta_prior(hosts)
+    assert alpha == beta and alpha + beta == quality.MAX_WEIGHT
+
+
+def test_url_aliases_equal_union_find(spark):
+    """Chains and stars of canonical links and redirects, against a plain union-find."""
+    rng = random.Random(9)
+    rules = [("block", "bad.net", "/"), ("allow", "good.com", "/"), ("block", "x.org", "/private/")]
+    urls = [f"https://{h}/{p}{i}" for i in range(60) for h, p in [rng.choice([("bad.net", ""), ("good.com", ""), ("x.org", ""), ("x.org", "private/"), ("y.org", ""), ("z.org", "")])]]
+    links = [(rng.choice(urls), rng.choice(urls)) for _ in range(25)]
+    links += list(zip(urls[:12], urls[1:13], strict=True))  # a long chain
+    redirects = [(rng.choice(urls), rng.choice(urls)) for _ in range(8)]
+    html = {}
+    for a, b in links:
+        html[a] = html.get(a, "") + rng.choice(['<link rel="canonical" href="%s">', '<meta http-equiv="refresh" content="0; url=%s">']) % b
+    parent = {u: u for u in urls}
+
+    def find(u):
+        while parent[u] != u:
+            u = parent[u]
+        return u
+
+    for a, b in links + redirects:
+        parent[find(a)] = find(b)
+    own = {u: next((v for v, h, p in rules if u.startswith(f"https://{h}{p}")), None) for u in urls}
+    bad = {find(u) for u in urls if own[u] == "block"}
+    pages = spark.createDataFrame([(i, u, html.get(u)) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    out = url_filter.filter_urls(pages, rules, spark.createDataFrame(redirects, "from_url string, to_url string")).collect()
+    got = {r["page_id"]: r["verdict"] for r in out}
+    assert got == {i: own[u] or ("block" if find(u) in bad else "allow") for i, u in enumerate(urls)}
+    assert sum(r["via"] == "alias" for r in out) > 5
+    empty = pages.limit(0)
+    assert url_filter.filter_urls(empty, rules).count() == 0
+    assert {r["verdict"] for r in url_filter.filter_urls(pages.withColumn("html", F.lit(None).cast("string")), []).collect()} == {"allow"}
+
+
+def test_url_rules_as_a_table_decide_alike(spark, monkeypatch):
+    urls = ["http://example.com/en/a", "http://www.example.com/en/a", "http://a.b.net/es/", "http://net/fr/x", "http://x.com/", "http://x.org/", "nothing", None, "http://b.net"]
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    rows = lambda: sorted(map(tuple, url_filter.filter_urls(pages, URL_RULES).collect()))
+    expected = rows()
+    monkeypatch.setattr(url_filter, "EXPRESSION_RULES", 0)
+    assert rows() == expected
+
+
+def test_language_score_tells_text_from_noise(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language_id.train(docs.select(F.col("lang").alias("label"), "text"))
+    rng = random.Random(2)
+    noise = [(i, "".join(rng.choice("qxzjkvwy ") for _ in range(2000))) for i in range(5)]
+    clean = {r["doc_id"]: r["score"] for r in language_id.predict(docs, model).collect()}
+    odd = [r["score"] for r in language_id.predict(spark.createDataFrame(noise, "doc_id long, text string"), model).collect()]
+    assert min(clean.values()) > 0.8 and max(odd) < 0.2

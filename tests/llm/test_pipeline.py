@@ -57,3 +57,24 @@ def test_all_stages_on_an_empty_table(spark):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    from lexstrata.llm import decontaminate, pii
+
+    names = ["_key", "_gone", "_hit", "_again", "_id", "_own", "_spans", "_end", "row", "key", "id", "of", "end", "spans", "a.b"]
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, *names), (2, text + " x", *names), (3, "write to ann@example.org now", *names), (3, "other text", *names), (None, None, *names)]
+    kinds = ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {kinds}")
+    items = spark.createDataFrame([(1, "other text")], "item_id long, text string")
+    for some in (docs, docs.where("text is null or text != 'other text'")):
+        out = P.drop_near_copies(spark, some, "")
+        assert out.columns == docs.columns and {r["doc_id"] for r in out.collect()} == {1, 3, None}
+    redacted = pii.redact(docs)
+    assert redacted.columns == docs.columns
+    assert sorted(str(r["text"]) for r in redacted.collect())[0] == "None"
+    assert any(r["text"] == "write to <email> now" and r["a.b"] == "a.b" for r in redacted.collect())
+    for limit in (0, 10**6):
+        clean = decontaminate.drop_contaminated(docs, items, broadcast_windows=limit)
+        assert clean.columns == docs.columns and clean.count() == 4
