@@ -37,23 +37,23 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     without doc_id, and those without words, stay.
     """
     tmp = Scratch(spark, "near")
-    id_, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    again = tmp.save(docs.where("doc_id is not null").groupBy(id_.alias("doc_id")).count().where("count > 1").select("doc_id"), "again")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    named = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("key"), row)
+    again = tmp.save(named.groupBy("id").count().where("count > 1").select("id"), "again")
     if again.isEmpty():
         linked = jaccard_join.link_near_copies(docs)
-        gone = linked.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-        return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    # ids do not name documents here: each pair of id and text gets a number and is linked by that
-    key = F.xxhash64(text)
-    named = docs.where("doc_id is not null")
-    nodes = named.select(id_.alias("doc_id"), text.alias("text"), key.alias("key")).dropDuplicates(["doc_id", "key"])
-    nodes = tmp.save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    linked = jaccard_join.link_near_copies(nodes.select(F.col("node").alias("doc_id"), "text"))
-    linked = linked.select(F.col("doc_id").alias("node"), "component_id").join(nodes.select("node", "doc_id", "key"), "node")
-    best = linked.groupBy("component_id").agg(F.min(F.struct("doc_id", "key")).alias("l"))
-    best = tmp.save(best.select(F.col("l.doc_id").alias("_id"), F.col("l.key").alias("_key")), "best")
-    kept = named.join(best, (id_ == F.col("_id")) & (key == F.col("_key")), "inner").dropDuplicates(["_id", "_key"])
-    return kept.select(*(f"`{c}`" for c in docs.columns)).unionByName(docs.where("doc_id is null"))
+        gone = linked.where("doc_id != component_id").select(F.col("doc_id").alias("id"))
+        kept = named.join(gone, "id", "left_anti")
+    else:
+        # ids do not name documents here: each pair of id and text gets a number and is linked by that
+        nodes = named.select("id", "key", F.col("row.text").cast("string").alias("text")).dropDuplicates(["id", "key"])
+        nodes = tmp.save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+        linked = jaccard_join.link_near_copies(nodes.select(F.col("node").alias("doc_id"), "text"))
+        linked = linked.select(F.col("doc_id").alias("node"), "component_id").join(nodes.select("node", "id", "key"), "node")
+        best = linked.groupBy("component_id").agg(F.min(F.struct("id", "key")).alias("l"))
+        best = tmp.save(best.select("l.id", "l.key"), "best")
+        kept = named.join(best, ["id", "key"]).dropDuplicates(["id", "key"])
+    return kept.select("row.*").unionByName(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
