@@ -3,10 +3,11 @@
 Documents are sets of distinct word shingles; two link at Jaccard >= ``percent``/100.
 
 1. Equal sets are one class (two set hashes and the size).
-2. A leader round, cheap: of the classes with an equal min-hash two are heads, the one
-   that agrees with most others and a random one; those that agree with a head on most
-   of twelve are verified exactly.  This decides nothing alone.  It only makes groups of
-   near copies one component, whose members need not be paired any more.
+2. Leader rounds, cheap: of the classes with an equal min-hash two are heads, at first the
+   one that agrees with most others and a random one, then other random ones; of the heads
+   that agree with it on most of twelve, a class tries three, by exact verification.  This
+   decides nothing alone.  It only makes groups of near copies one component, whose
+   members need not be paired any more.
 3. Screen.  A linked pair shares a shingle among the first n - ceil(n * percent / 100) + 1
    of each, in whatever order of all shingles.  Take the shingles of one zone of the hash
    range first: a class that has so many of them that no other component holds can link
@@ -49,6 +50,7 @@ from .scratch import Scratch
 MINHASHES = 12
 #: Equal min-hashes that make a leader pair worth verifying.
 AGREE = 7
+LEADER_ROUNDS = 3
 #: Part of the hash range that the screen looks at; a prefix is a little over a quarter of a set.
 ZONE = 0.36
 #: Bitmaps have 4 bits a shingle or more, up to 8 kB (then fewer; sparse ones exclude less, never more).
@@ -444,7 +446,7 @@ class _Join:
         known = self.known.join(labels, "component", "left")
         self.known = self.tmp.save(known.select("cls", "leader", "n", "z", F.coalesce("merged", "component").alias("component")), f"known-{name}")
 
-    def leader_round(self) -> None:
+    def leader_rounds(self) -> None:
         save = self.tmp.save
         keyed = self.made.select("cls", F.posexplode("mh").alias("j", "h"))
         groups = keyed.groupBy("j", "h").agg(F.count("*").alias("m")).where("m > 1")
@@ -452,20 +454,28 @@ class _Join:
         if keyed.isEmpty():
             return
         mates = save(keyed.groupBy("cls").agg(F.sum("m").alias("mates")), "mates")
-        most, random = F.max(F.struct("mates", "cls")).alias("most"), F.max(F.struct(F.xxhash64("cls"), "cls")).alias("random")
-        heads = keyed.join(mates, "cls").groupBy("j", "h").agg(most, random)
-        # of the heads of its twelve groups a class takes the one with most mates and one by hash
-        best = lambda c: F.max(F.when(F.col(c)["cls"] != F.col("cls"), F.col(c)))["cls"]
-        near = keyed.join(heads, ["j", "h"]).groupBy("cls").agg(F.array(best("most"), best("random")).alias("b"))
-        near = near.select(F.col("cls").alias("a"), F.explode(F.array_distinct("b")).alias("b")).where("b is not null")
-        near = save(near, "near")
         agree = F.aggregate(F.zip_with("mh", "mh2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)
-        near = near.join(self.made.select(F.col("cls").alias("a"), "mh"), "a").join(self.made.select(F.col("cls").alias("b"), F.col("mh").alias("mh2")), "b")
-        near = save(near.where(agree >= AGREE).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
-        edges = self.verified(near, "edges-near")
-        self.tmp.drop("minhashes", "mates", "near", "near-pairs")
-        if not edges.isEmpty():
-            self.link(edges, "cc-near")
+        best = lambda *by: F.max(F.struct(*by, "b"))["b"]
+        for turn in range(LEADER_ROUNDS):
+            now = keyed.join(mates, "cls").join(self.known.select("cls", "component"), "cls")
+            by_hash = lambda i: F.xxhash64("cls", F.lit(2 * turn + i))  # noqa: B023, E731
+            first = by_hash(0) if turn else F.col("mates")
+            heads = now.groupBy("j", "h").agg(*(F.max(F.struct(o.alias("by"), "mates", "cls", "component")).alias(n) for n, o in (("p", first), ("q", by_hash(1)))), F.min("component").alias("x"), F.max("component").alias("y"))
+            near = now.select("j", "h", "cls", "component").join(heads.where("x != y").select("j", "h", "p", "q"), ["j", "h"])
+            near = near.select(F.col("cls").alias("a"), "component", F.explode(F.array("p", "q")).alias("b")).where("component != b.component")
+            near = save(near.groupBy("a", F.col("b.cls").alias("b")).agg(F.max("b.mates").alias("mates")), f"near-{turn}")
+            near = near.join(self.made.select(F.col("cls").alias("a"), "mh"), "a").join(self.made.select(F.col("cls").alias("b"), F.col("mh").alias("mh2")), "b")
+            near = near.withColumn("agree", agree).where(F.col("agree") >= AGREE)
+            # of the heads of its twelve groups a class tries the closest, the one with most mates, and one by hash
+            near = near.groupBy("a").agg(F.array_distinct(F.array(best("agree", "mates"), best("mates"), best(F.xxhash64("b")))).alias("b"))
+            near = near.select("a", F.explode("b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            near = save(near, f"near-pairs-{turn}")
+            edges = self.verified(near, f"edges-near-{turn}")
+            self.tmp.drop(f"near-{turn}", f"near-pairs-{turn}")
+            if edges.isEmpty():
+                break
+            self.link(edges, f"cc-near-{turn}")
+        self.tmp.drop("minhashes", "mates")
 
     def open_texts(self) -> DataFrame:
         """Texts of the classes that the screen doesn't settle."""
@@ -512,7 +522,7 @@ class _Join:
 
     def run(self) -> DataFrame:
         self.classes()
-        self.leader_round()
+        self.leader_rounds()
         edges = self.verified(self.candidates(), "edges-exact")
         if not edges.isEmpty():
             self.link(edges, "cc-exact")
