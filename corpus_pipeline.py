@@ -15,8 +15,8 @@ from lexstrata.llm import decontaminate, jaccard_join, language_id, packing, pii
 from lexstrata.llm.queries import table, tokenizer_path
 from lexstrata.llm.scratch import Scratch
 
-#: A language is rejected where its posterior is below this; clean text is far above.
-MIN_LANGUAGE_SCORE = 0.5
+#: Text of no known language scores far below this, text mixed of known ones above.
+MIN_LANGUAGE_SCORE = 0.1
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
