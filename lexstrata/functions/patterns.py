@@ -34,9 +34,12 @@ PARTS = ["Título", "Capítulo", "Sección"]
 PART_STEMS = ["Primer", "Segund", "Tercer", "Cuart", "Quint", "Sext", "Séptim", "Octav", "Noven", "Décim", "Únic"]
 SUFFIXES = ["Bis", "Ter", "Quáter", "Quinquies"]
 
-# Openings that make the rest of a part heading prose, and those of part names.
-PROSE = ["de", "del", "que", "según", "sección", "secciones", "capítulo", "título"]
-PROSE_SPACED = ["y", "o", "en", "a", "no", "se", "la", "el", "las", "los", "al", "con", "por", "sin", "ni", "para"]
+# Openings that make the rest of a part heading prose (a space where the word
+# has to end), and those of part names.
+PROSE = [
+    "de", "del", "y ", "o ", "en ", "a ", "que ", "según", "no ", "se ", "la ", "el ", "las ", "los ",
+    "al ", "con ", "por ", "sin ", "ni ", "para ", "sección", "secciones", "capítulo", "título",
+]
 NAME_OPENINGS = ["De", "Del", "Sobre", "Para", "En", "Por", "Disposiciones"]
 
 
@@ -80,7 +83,7 @@ def build(strict: bool = False) -> Patterns:
     stems = _any([_any(map(str.upper, PART_STEMS)) + "[OA]", _any(PART_STEMS) + "[oa]"])
     numeral = rf"[IVXLCDM\d]+(?:\s+{_any([*map(str.upper, SUFFIXES), *SUFFIXES])})?"
     edge = r"(?![\p{L}\d])" if strict else ""
-    prose = _any([*PROSE, *(f"{w} " for w in PROSE_SPACED)])
+    prose = _any(PROSE)
     suffix = rf"(?:\s+{_any(SUFFIXES)})?" if strict else ""
     return Patterns(
         article=rf"(?U)^{numbered}\s+\d+",

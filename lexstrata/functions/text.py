@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,9 +14,13 @@ STOP_WORDS = [
     "sobre", "entre", "ante", "sin", "si", "no", "lo",
 ]
 
-# Precomposed Latin letters and their base letters.
-ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy"
+def _base(letter: str) -> str:
+    return unicodedata.normalize("NFD", letter)[0]
+
+
+#: Letters that canonical decomposition takes apart into an ASCII letter and marks, and those letters.
+ACCENTED = "".join(c for c in map(chr, range(0xC0, 0x2200)) if _base(c) != c and _base(c).isascii() and _base(c).isalpha())
+PLAIN = "".join(map(_base, ACCENTED))
 
 
 def strip(c: Column) -> Column:
@@ -43,7 +49,7 @@ def is_roman(c: Column) -> Column:
 
 
 def fold_accents(c: Column) -> Column:
-    """Latin letters without their accents (a fixed table; combining marks go)."""
+    """Latin letters without their accents; combining marks go."""
     return F.regexp_replace(F.translate(c, ACCENTED, PLAIN), r"\p{Mn}", "")
 
 

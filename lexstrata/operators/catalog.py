@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,14 +15,24 @@ BASE_URL = "https://www.diputados.gob.mx/LeyesBiblio/"
 _ROW = r"(?is)<tr\b[^>]*>((?:(?!<tr\b).)*?)</tr\s*>"
 _CELL = r"(?is)<td\b[^>]*>((?:(?!<td\b).)*?)</td\s*>"
 _HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
-# Character references that occur in such tables.
-_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,30});"
+
+
+def _character(reference: Column) -> Column:
+    """The character of a reference; one that names none stays as it is."""
+    body = F.substring(reference, F.lit(2), F.char_length(reference) - 2)
+    code = F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 6), 16, 10)).otherwise(F.substring(body, 2, 7)).try_cast("long")
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    numbered = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    names = F.create_map(*(F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))), F.lit("apos"), F.lit("'"))
+    return F.coalesce(F.when(body.startswith("#"), numbered).otherwise(F.try_element_at(names, body)), reference)
 
 
 def unescape(c: Column) -> Column:
-    for name, char in _ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    """Character references resolved, once (``&amp;lt;`` is ``&lt;``)."""
+    between, found = F.split(c, _REFERENCE), F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0))
+    parts = F.transform(F.arrays_zip(between.alias("b"), found.alias("r")), lambda z: F.concat(z["b"], F.coalesce(_character(z["r"]), F.lit(""))))
+    return F.when(c.contains("&"), F.array_join(parts, "")).otherwise(c)
 
 
 def cell_text(html: Column) -> Column:

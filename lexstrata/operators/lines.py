@@ -23,14 +23,19 @@ def lines_by_document(docs: DataFrame, text: str = "text") -> DataFrame:
     return explode_lines(docs.repartition("doc_id"), text)
 
 
-def page_lines(pages: DataFrame) -> DataFrame:
+def page_lines(pages: DataFrame, pictures: DataFrame | None = None) -> DataFrame:
     """Extracted pages (doc_id, page, region, text, total_pages) to lines in reading order.
 
     Page markers go, lines are stripped, blank ones dropped, page furniture left out.
+    ``pictures`` (doc_id, page, region, md: array of lines) stand between the regions of
+    text as they are.
     """
     each = pages.select("doc_id", "page", "region", "total_pages", F.posexplode(F.split("text", "\n")).alias("n", "text"))
     each = each.withColumn("text", clean_markers(F.col("text"), F.col("total_pages")))
     each = each.where((F.col("text") != "") & ~is_furniture(F.col("text")))
+    each = each.select("doc_id", "page", "region", "n", "text")
+    if pictures is not None:
+        each = each.unionByName(pictures.select("doc_id", "page", "region", F.posexplode("md").alias("n", "text")))
     order = Window.partitionBy("doc_id").orderBy("page", "region", "n")
     return each.select("doc_id", (F.row_number().over(order) - 1).alias("line_no"), "text")
 
@@ -84,3 +89,9 @@ def interleave(regions: DataFrame) -> DataFrame:
     """Text and picture regions (doc_id, page, y, kind, text) in reading order, as ``order_no``."""
     order = Window.partitionBy("doc_id", "page").orderBy("y", F.col("kind") != "text")
     return regions.withColumn("order_no", F.row_number().over(order))
+
+
+def interleave(regions: DataFrame) -> DataFrame:
+    """Text and picture regions (doc_id, page, y, kind, text) in reading order, as ``order_no``."""
+    order = Window.partitionBy("doc_id", "page").orderBy("y", F.col("kind") != "text")
+    return regions.withColumn("order_no", F.row_number().over(order))

@@ -6,9 +6,10 @@ their rows by expressions that both engines evaluate (``synthetic``).
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
@@ -278,14 +279,14 @@ _SQL_PAGE_LINE = O.strip(r"regexp_replace(text, '\s*\d{1,4}\s+de\s+7\s*', ' ', '
 
 
 @query(
-    "WITH p AS (SELECT source AS doc_id, doc_id AS page, unnest(range(len(l))) AS n, unnest(l) AS text FROM (SELECT doc_id, source, string_split(text || chr(10) || 'Secretaría General' || chr(10) || ' 3 de 7 fin', chr(10)) AS l FROM documents)), "
+    "WITH p AS (SELECT doc_id // 4 AS doc_id, doc_id % 4 AS page, unnest(range(len(l))) AS n, unnest(l) AS text FROM (SELECT doc_id, string_split(text || chr(10) || 'Secretaría General' || chr(10) || ' 3 de 7 fin', chr(10)) AS l FROM documents)), "
     f"c AS (SELECT doc_id, page, n, {_SQL_PAGE_LINE} AS text FROM p), k AS (SELECT * FROM c WHERE text <> '' AND NOT ({_SQL_FIXED} OR {O.has('text', P.TITLE_LINE)} OR {O.has('text', P.REFORM_LINE)})) "
     "SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page, n) - 1 AS INTEGER) AS line_no, text FROM k"
 )
 def page_lines(spark, sf):
-    """Sources as documents, documents as their pages."""
+    """Four documents in a row as the pages of one."""
     text = F.expr("text || chr(10) || 'Secretaría General' || chr(10) || ' 3 de 7 fin'")
-    pages = table(spark, sf, "documents").select(F.col("source").alias("doc_id"), F.col("doc_id").alias("page"), F.lit(0).alias("region"), F.lit(7).alias("total_pages"), text.alias("text"))
+    pages = table(spark, sf, "documents").select(F.expr("doc_id div 4").alias("doc_id"), (F.col("doc_id") % 4).alias("page"), F.lit(0).alias("region"), F.lit(7).alias("total_pages"), text.alias("text"))
     return L.page_lines(pages)
 
 
@@ -446,11 +447,9 @@ def lang_source_rollup(spark, sf):
 
 @query("SELECT lang, doc_id, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) <= 10")
 def topk_docs_per_lang(spark, sf):
-    """Top ten by length per language; combined per task before the shuffle (the limit is the feature)."""
-    one = F.struct((-F.col("n_chars")).alias("k"), "doc_id")
-    local = table(spark, sf, "documents").where("lang is not null").groupBy("lang", F.spark_partition_id().alias("p")).agg(F.slice(F.array_sort(F.collect_list(one)), 1, 10).alias("s"))
-    both = local.groupBy("lang").agg(F.slice(F.array_sort(F.flatten(F.collect_list("s"))), 1, 10).alias("s"))
-    return both.select("lang", F.explode("s").alias("e")).select("lang", "e.doc_id", (-F.col("e.k")).alias("n_chars"))
+    """Top ten by length per language; ranks over ten go in every task before the shuffle (the limit is the feature)."""
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n_chars").desc(), "doc_id"))
+    return table(spark, sf, "documents").select("lang", "doc_id", "n_chars").withColumn("rank", rank).where("rank <= 10").drop("rank")
 
 
 @query("SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
@@ -482,7 +481,11 @@ def stream_daily_counts(spark, sf):
     """The same counts through a stream that is drained once."""
     import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/lexstrata-stream"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="lexstrata-")
     events = incremental.stream_parquet(spark, sf, "events", table(spark, sf, "events").schema)
     name = f"counts_{uuid.uuid4().hex}"
     return incremental.run_once(incremental.tumbling_counts(events), name, f"{root}/{name}").select("start", "event_type", "n")

@@ -89,23 +89,3 @@ def test_pdf_source_is_gated(spark):
         pytest.skip("pdfplumber is here")
     with pytest.raises(ImportError):
         pdf.register(spark)
-
-
-class Page:
-    width, height = 100, 800
-
-    def __init__(self, images, tables=()):
-        self.images, self.tables = images, tables
-
-    def extract_tables(self):
-        return list(self.tables)
-
-    def crop(self, box):
-        return box
-
-
-def test_pdf_regions():
-    big = {"x0": 0, "x1": 300, "y0": 100, "y1": 300, "top": 100, "bottom": 300}
-    assert [k for k, _ in pdf.regions(Page([big]))] == ["text", "picture", "text"]
-    assert [k for k, _ in pdf.regions(Page([big], [1]))] == ["text"]
-    assert pdf.regions(Page([big]))[2][1] == (0, 300, 100, 800)

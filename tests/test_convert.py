@@ -4,6 +4,7 @@ import pytest
 from lexstrata import __main__ as cli
 from lexstrata.plans import convert as X
 from lexstrata.sources import ocr
+from pyspark.sql import functions as F
 
 HTML = """<table><tr><td>No.</td><td>Ley</td><td>Reforma</td><td><a href="pdf/x.pdf">x</a></td></tr>
 <tr><td>1</td><td>LEY de Amnistía DOF 22/04/2020</td><td>Sin reforma</td><td><a href="doc/a.doc">d</a><a href="pdf/LAmn.pdf">p</a></td></tr>
@@ -60,3 +61,27 @@ def test_ocr_is_gated(spark):
         pytest.skip("pytesseract is here")
     with pytest.raises(ImportError):
         ocr.words(spark.createDataFrame([], "img_id long, content binary"))
+
+
+def test_pictures_stand_between_the_text(spark):
+    rows = [
+        ("a.pdf", 1, 0, "text", "Artículo 1. Antes\n1 de 1", None),
+        ("a.pdf", 1, 1, "picture", None, 7),
+        ("a.pdf", 1, 2, "text", "Artículo 2. Después", None),
+        ("a.pdf", 1, 3, "picture", None, 8),
+        ("b.pdf", 1, 0, "text", "Artículo 1. Uno", None),
+        ("b.pdf", None, None, "error", "broken", None),
+    ]
+    pages = spark.createDataFrame(rows, "pdf_filename string, page int, region int, kind string, text string, img_id long").withColumn("total_pages", F.lit(1))
+    words = []
+    for r, line in enumerate([["Concepto", "Valor"], ["10", "20"], ["30", "40"]]):
+        words += [(7, 2 * r + c, w, 90.0, 200 * c, 40 * r, 80, 20) for c, w in enumerate(line)]
+    words = spark.createDataFrame(words, "img_id long, i int, text string, conf double, left int, top int, width int, height int")
+    entries = spark.createDataFrame([(1, "1", "LEY A", "-", "own_name", "a.pdf")], "pos int, numero string, nombre string, ultima_reforma string, md_slug string, pdf_filename string")
+    out = {r["pdf_filename"]: r for r in X.convert(pages, entries, words=words).collect()}
+    assert out["b.pdf"]["status"] == "failed" and out["a.pdf"]["status"] == "converted"
+    assert out["a.pdf"]["md_slug"] == "own_name" and out["b.pdf"]["md_slug"] == "b"
+    text = out["a.pdf"]["content"]
+    table, stand_in = text.index("| 10 | 20 |"), text.index("> **[Tabla no extraíble — ver PDF original, página 1]**")
+    assert text.index("Antes") < table < text.index("Después") < stand_in
+    assert "no extraíble" in X.convert(pages, entries).where("pdf_filename = 'a.pdf'").first()["content"]
