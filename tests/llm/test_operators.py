@@ -620,3 +620,45 @@ def test_language_score_tells_text_from_noise(spark):
     clean = {r["doc_id"]: r["score"] for r in language_id.predict(docs, model).collect()}
     odd = [r["score"] for r in language_id.predict(spark.createDataFrame(noise, "doc_id long, text string"), model).collect()]
     assert min(clean.values()) > 0.8 and max(odd) < 0.2
+
+
+def _licence(spark, rows):
+    files = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(rows)], "doc_id long, path string, text string")
+    return {r["path"]: r for r in license_scan.scan(files, F.col("path")).collect()}
+
+
+def test_whole_licence_files_and_their_folders(spark):
+    bsd, names = license_scan._BSD, license_scan._BSD_NAMES
+    rest = 'The above copyright notice and this permission notice shall be included in all copies.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED.'
+    wrap = lambda t, mark="": "\n".join(mark + " ".join(t.split()[i : i + 9]) for i in range(0, len(t.split()), 9))
+    files = {
+        "MIT": f"MIT License\n\nCopyright (c) 2020 Ann Other\n\n{wrap(license_scan._MIT)}\n\n{rest}",
+        "BSD-2-Clause": "Copyright 2020 Ann Other\n\n" + "\n\n".join(map(wrap, bsd)),
+        "BSD-3-Clause": "Copyright 2020 Ann Other\n\n" + "\n\n".join(map(wrap, [*bsd[:3], names, bsd[3]])),
+        "ISC": f"Copyright 2020 Ann Other\n\n{wrap(license_scan._ISC)}\n\n{rest}",
+        "Apache-2.0": "   Apache License\n   Version 2.0, January 2004\n   http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE\n\n" + "   1. Definitions of many words.\n\n" * 50,
+        "GPL-3.0": "  GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\n Preamble\n\n" + "The licenses for most software take away your freedom to share.\n\n" * 30,
+        "LGPL-3.0": "  GNU LESSER GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\n This version incorporates the terms of the GNU General Public License.\n",
+    }
+    header = next(t for n, t in license_scan.TEMPLATES if n == "GPL-3.0" and t.startswith("This program"))
+    rows = [(f"{n}/LICENSE", t) for n, t in files.items()] + [(f"{n}/src/x.py", "print(1)") for n in files]
+    rows += [("w/a.py", wrap(header, "# ") + "\n\nimport os\n"), ("w/b.c", "/*\n" + wrap(header, " * ") + "\n */\nint x;"), ("w/c.py", "# the license of a dog\n")]
+    out = _licence(spark, rows)
+    for n in files:
+        assert (out[f"{n}/LICENSE"]["licence"], out[f"{n}/src/x.py"]["licence"], out[f"{n}/src/x.py"]["licence_dir"]) == (n, n, n)
+    assert out["w/a.py"]["licence"] == out["w/b.c"]["licence"] == "GPL-3.0" and out["w/c.py"]["licence"] is None
+
+
+def test_licence_scores_equal_plain_tf_idf(spark):
+    lines = ["Licensed under the MIT License.", "licensed under the apache license", "All rights reserved by nobody", "Copyright 2020 Ann", "Licensed under the MIT License."]
+    terms = lambda t: __import__("re").findall(r"[^\W_]+(?:\.[^\W_]+)*", t.lower())
+    units = [terms(x) for x in lines] + [terms(t) for _, t in license_scan.TEMPLATES]
+    df = Counter(w for u in units for w in set(u))
+    weigh = lambda u: {w: n * (math.log((len(units) + 1) / (df[w] + 1)) + 1) for w, n in Counter(u).items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    out = _licence(spark, [(f"d{i}/f{i}.txt", x) for i, x in enumerate(lines)])
+    for i, x in enumerate(lines):
+        a = weigh(terms(x))
+        best = max((sum(a[w] * b.get(w, 0) for w in a) / norm(a) / norm(b), n) for n, t in license_scan.TEMPLATES for b in [weigh(terms(t))])
+        got = out[f"d{i}/f{i}.txt"]
+        assert got["score"] == (pytest.approx(best[0], abs=1e-6) if best[0] >= 0.6 else None)
