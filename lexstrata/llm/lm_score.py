@@ -1,11 +1,11 @@
 """Stupid-backoff scores from n-gram counts over all documents.
 
 Documents are dealt to blocks of about ``block_bytes`` by hash.  A block explodes its
-n-grams (orders 1 to ``order``) and adds them up, so what is shuffled is one row per
-n-gram and block, partitioned by the n-gram's hash; there the rows of an n-gram meet and
-get its corpus count.  A hot n-gram has one row per block at most, so no key is skewed.
-Counts that differ from the block's own go back to the block, are joined to its n-grams,
-and the logarithms are summed per document.  N-grams are counted in ``rounds`` ranges of
+n-grams (orders 1 to ``order``) and adds them up: a table of n-gram, block and count.  The
+corpus count of an n-gram is a sum over that table, pre-aggregated before the shuffle by
+hash, and joined back to it, so a hot n-gram is one row per task in the sum, and adaptive
+execution may split it in the join.  Counts that differ from the block's own go back to
+the block, are joined to its n-grams, and the logarithms are summed per document.  N-grams are counted in ``rounds`` ranges of
 their hash, and blocks scored in as many groups, one after the other: only one range's or
 group's rows are on disk at a time.
 
@@ -27,7 +27,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import kernels as K
 from .scratch import Scratch
@@ -120,7 +119,7 @@ def _score_block(order: int, discount: float):
     return run
 
 
-def score(docs: DataFrame, order: int = 2, discount: float = 0.4, block_bytes: int = 4 << 20, rounds: int = 2) -> DataFrame:
+def score(docs: DataFrame, order: int = 3, discount: float = 0.4, block_bytes: int = 4 << 20, rounds: int = 4) -> DataFrame:
     """Per document: doc_id, n_words, n_top (words whose longest n-gram is known), log_score, mean_log_score."""
     tmp = Scratch(docs.sparkSession, "lm")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -129,8 +128,10 @@ def score(docs: DataFrame, order: int = 2, discount: float = 0.4, block_bytes: i
     counts, scored = [], []
     for turn in range(rounds):
         rows = docs.groupBy("block").applyInArrow(_count_block(order, rounds, turn), "h long, block int, n long")
-        rows = rows.withColumn("total", F.sum("n").over(Window.partitionBy("h")))
-        counts.append(tmp.save(rows.where("total > n").select("block", "h", "total"), f"counts-{turn}"))
+        rows = tmp.save(rows, f"grams-{turn}")
+        totals = rows.groupBy("h").agg(F.sum("n").alias("total"), F.count("*").alias("blocks")).where("blocks > 1").select("h", "total")
+        counts.append(tmp.save(rows.join(totals, "h").select("block", "h", "total"), f"counts-{turn}"))
+        tmp.drop(f"grams-{turn}")
     shared = reduce(DataFrame.union, counts)
     for turn in range(rounds):
         group = F.col("block") % rounds == turn
