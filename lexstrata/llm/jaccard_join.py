@@ -23,7 +23,9 @@ Documents are sets of distinct word shingles; two link at Jaccard >= ``percent``
    sets must also reach it with what follows the block's shingle in both orders, and is
    left to the block of an earlier common shingle.  Blocks over ``block_rows`` are dealt
    by size band and hash to pairs of parts, the top level of the tree.
-6. What is left is verified on whole texts, and components are taken over all links.
+6. What is left is verified on whole texts: in two rounds one pair of each component, which
+   joins most groups of near copies, then every pair that components still divide.
+   Components are taken over all links.
 
 Counts are pre-aggregated and come back by joins of written tables, which adaptive
 execution splits where a shingle is hot; copies are collapsed, and connected classes are
@@ -51,6 +53,8 @@ MINHASHES = 12
 #: Equal min-hashes that make a leader pair worth verifying.
 AGREE = 7
 LEADER_ROUNDS = 3
+#: Rounds that verify one candidate pair of each component before all are.
+PICK_ROUNDS = 2
 #: Part of the hash range that the screen looks at; a prefix is a little over a quarter of a set.
 ZONE = 0.36
 #: Bitmaps have 4 bits a shingle or more, up to 8 kB (then fewer; sparse ones exclude less, never more).
@@ -520,12 +524,26 @@ class _Join:
         blocks = blocks.repartition("token", "pa", "pb").sortWithinPartitions("token", "pa", "pb")
         return save(blocks.mapInArrow(_block_pairs(self.percent), "a long, b long").distinct(), "pairs")
 
+    def link_candidates(self, pairs: DataFrame) -> None:
+        """Verify candidates: first one pair for each component, by hash, as long as that links
+        any; then all pairs that components still divide."""
+        of = lambda c: self.known.select(F.col("cls").alias(c), F.col("component").alias(f"c{c}"))
+        for turn in range(PICK_ROUNDS + 1):
+            pairs = self.tmp.save(pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").where("ca != cb"), f"divided-{turn}")
+            if pairs.isEmpty():
+                return
+            chosen = pairs.select("a", "b")
+            if turn < PICK_ROUNDS:
+                one = F.max(F.struct(F.xxhash64("a", "b", F.lit(turn)), "a", "b")).alias("p")
+                chosen = pairs.groupBy("ca").agg(one).select("p.a", "p.b").union(pairs.groupBy("cb").agg(one).select("p.a", "p.b")).distinct()
+            edges = self.verified(self.tmp.save(chosen, f"chosen-{turn}"), f"edges-exact-{turn}")
+            if not edges.isEmpty():
+                self.link(edges, f"cc-exact-{turn}")
+
     def run(self) -> DataFrame:
         self.classes()
         self.leader_rounds()
-        edges = self.verified(self.candidates(), "edges-exact")
-        if not edges.isEmpty():
-            self.link(edges, "cc-exact")
+        self.link_candidates(self.candidates())
         first = self.known.groupBy("component").agg(F.min("leader").alias("component_id"))
         named = self.made.select("cls", "s1", "s2", "n").join(self.known.select("cls", "component"), "cls").join(first, "component")
         named = self.tmp.save(named.select("s1", "s2", "n", "component_id"), "named")
