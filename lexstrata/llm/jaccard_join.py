@@ -518,7 +518,8 @@ class _Join:
         heads = save(heads, "heads")  # a row for each class that has posts
         bits = texts.join(heads.select("cls"), "cls").select("text", "cls").mapInArrow(_bitmaps(self.k), "cls long, bits binary")
         signatures = save(bits.join(heads, "cls").join(self.made.select("cls", F.slice("mh", 1, 3).alias("mh")), "cls"), "signatures")
-        sizes = posts.groupBy("token").agg(F.count("*").alias("m"))
+        # written, else the join would take over the sum's partitioning and a hot shingle could not be split
+        sizes = save(posts.groupBy("token").agg(F.count("*").alias("m")), "sizes")
         blocks = _blocks(posts.join(sizes, "token").join(signatures, "cls"), self.block_rows, self.percent)
         blocks = blocks.select("token", "pa", "pb", "side", "cls", "component", "n", "rank", "pos", "head", "mh", "bits")
         blocks = blocks.repartition("token", "pa", "pb").sortWithinPartitions("token", "pa", "pb")
