@@ -16,6 +16,8 @@ _ROW = r"(?is)<tr\b[^>]*>((?:(?!<tr\b).)*?)</tr\s*>"
 _CELL = r"(?is)<td\b[^>]*>((?:(?!<td\b).)*?)</td\s*>"
 _HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
 _REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,30});"
+#: The six references of the SQL of html_cell_text.
+BASIC_REFERENCE = "&(?:nbsp|lt|gt|quot|amp|#39);"
 
 
 def _character(reference: Column) -> Column:
@@ -28,21 +30,21 @@ def _character(reference: Column) -> Column:
     return F.coalesce(F.when(body.startswith("#"), numbered).otherwise(F.try_element_at(names, body)), reference)
 
 
-def unescape(c: Column) -> Column:
-    """Character references resolved, once (``&amp;lt;`` is ``&lt;``)."""
-    between, found = F.split(c, _REFERENCE), F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0))
+def unescape(c: Column, reference: str = _REFERENCE) -> Column:
+    """Character references of the pattern resolved, once (``&amp;lt;`` is ``&lt;``)."""
+    between, found = F.split(c, reference), F.regexp_extract_all(c, F.lit(reference), F.lit(0))
     parts = F.transform(F.arrays_zip(between.alias("b"), found.alias("r")), lambda z: F.concat(z["b"], F.coalesce(_character(z["r"]), F.lit(""))))
     return F.when(c.contains("&"), F.array_join(parts, "")).otherwise(c)
 
 
-def cell_text(html: Column) -> Column:
+def cell_text(html: Column, reference: str = _REFERENCE) -> Column:
     """Text of an HTML fragment: tags out, references resolved, white space squeezed."""
-    return T.squeeze(unescape(F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", "")))
+    return T.squeeze(unescape(F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", ""), reference))
 
 
 def links(html: Column) -> Column:
     """Non-empty link targets in order."""
-    return F.transform(F.regexp_extract_all(html, F.lit(_HREF), F.lit(1)), unescape)
+    return F.transform(F.regexp_extract_all(html, F.lit(_HREF), F.lit(1)), lambda x: unescape(x))
 
 
 def title(html: Column) -> Column:

@@ -5,6 +5,7 @@ import json
 import pytest
 from lexstrata.operators import catalog as C
 from lexstrata.sources import pdf, readers, sinks
+from pyspark.sql import functions as F
 
 
 def html(spark, text):
@@ -89,3 +90,17 @@ def test_pdf_source_is_gated(spark):
         pytest.skip("pdfplumber is here")
     with pytest.raises(ImportError):
         pdf.register(spark)
+
+
+def test_cell_text_query_resolves_the_references_of_its_sql(spark, tmp_path):
+    """The operator resolves all references, the query only those that its SQL names."""
+    import duckdb
+    from lexstrata.plans import catalogue
+
+    texts = ["<p>&copy; a &middot; &amp;copy; &#169;</p>", "&lt;b&gt;&nbsp;&quot;x&quot; &#39;y&#39; &amp;lt; &apos;", "<!-- &amp; -->plain", "&amp;amp;&nope;&"]
+    spark.createDataFrame(list(enumerate(texts)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = catalogue.QUERIES["html_cell_text"](spark, str(tmp_path)).orderBy("page_id").collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert [tuple(r) for r in got] == con.execute(catalogue.ORACLES["html_cell_text"] + " ORDER BY page_id").fetchall()
+    assert spark.createDataFrame([(texts[0],)], "x string").select(C.cell_text(F.col("x"))).first()[0] == "© a · &copy; ©"
