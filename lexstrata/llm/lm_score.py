@@ -1,13 +1,14 @@
 """Stupid-backoff scores from n-gram counts over all documents.
 
-Documents are dealt to blocks of about ``block_bytes`` by hash.  A block explodes its
-n-grams (orders 1 to ``order``) and adds them up: a table of n-gram, block and count.  The
-corpus count of an n-gram is a sum over that table, pre-aggregated before the shuffle by
-hash, and joined back to it, so a hot n-gram is one row per task in the sum, and adaptive
-execution may split it in the join.  Counts that differ from the block's own go back to
-the block, are joined to its n-grams, and the logarithms are summed per document.  N-grams are counted in ``rounds`` ranges of
-their hash, and blocks scored in as many groups, one after the other: only one range's or
-group's rows are on disk at a time.
+Documents are dealt to blocks of about ``block_bytes`` by hash.  A block's n-grams (orders
+1 to ``order``) are added up and sorted by hash; each of many equal hash ranges (buckets)
+gets the block's hashes and counts there as one row of two blobs.  A bucket adds them up
+over blocks and gives each block, in the block's own order, how often its n-grams occur
+elsewhere: one blob a block again, without hashes.  The block sorts its n-grams once more,
+lays those counts beside them and sums logarithms per document.  An n-gram is one entry
+per block, however frequent, and buckets hold equal shares of all hashes.  Buckets are
+filled in ``rounds`` groups, and blocks scored in as many, one after the other: of the
+hashes only one group's are on disk at a time.
 
 A document's own occurrences are taken off all counts (else every n-gram would have been
 seen): S(w | context) = c(context w) / c(context) where that is seen, else
@@ -32,6 +33,8 @@ from . import kernels as K
 from .scratch import Scratch
 
 _TOTAL = 0  # the hash under which a block reports its number of words
+#: Buckets of a round: so many at least, and one for so much text.
+_BUCKETS, _BUCKET_BYTES = 512, 16 << 20
 
 
 class Grams:
@@ -55,64 +58,111 @@ class Grams:
             at = np.where(self.ok[k], np.arange(self.n) - (k - 1), 0)
             self.hash[k] = h.at(at, min(k, self.n)) if self.n else self.words
 
-    def counted(self, k: int, rounds: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
-        """N-grams of one hash range and how often they are here."""
-        own = self.hash[k][self.ok[k]]
-        return np.unique(own[own % np.uint64(rounds) == turn], return_counts=True)
+    def all(self) -> np.ndarray:
+        """The n-grams of all orders, order by order."""
+        return np.concatenate([self.hash[k][self.ok[k]] for k in self.hash])
 
 
-def _count_block(order: int, rounds: int, turn: int):
+def _edges(buckets: int) -> np.ndarray:
+    """The least hash of each bucket."""
+    return np.array([-(-(b << 32) // buckets) << 32 for b in range(buckets)], np.uint64)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """64-bit numbers as planes of bytes: all first bytes, all second ones, and so on, which compress well."""
+    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(blobs: list[bytes], kind=np.int64) -> list[np.ndarray]:
+    return [np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(kind).reshape(-1) for b in blobs]
+
+
+def _count_block(order: int, buckets: int, lo: int, hi: int):
+    """A block's documents -> its hashes and counts in each of the buckets [lo, hi)."""
+
     def run(table: pa.Table) -> pa.Table:
-        g = Grams(table.column("text"), order)
-        both = [g.counted(k, rounds, turn) for k in range(1, order + 1)]
-        first = turn == 0
-        h = np.concatenate([np.full(int(first), _TOTAL, np.uint64), *(a for a, _ in both)])
-        n = np.concatenate([np.full(int(first), g.n, np.int64), *(b for _, b in both)])
-        block = np.full(len(h), table.column("block")[0].as_py(), np.int32)
-        return pa.table({"h": K.signed(h), "block": pa.array(block), "n": pa.array(n.astype(np.int64))})
+        g, edges = Grams(table.column("text"), order), _edges(buckets)
+        own = g.all()
+        own = own[own >= edges[lo]]
+        own = own[own < edges[hi]] if hi < buckets else own
+        h, n = np.unique(own, return_counts=True)
+        n = n.astype(np.int64)
+        if not lo:
+            h, n = np.concatenate([np.full(1, _TOTAL, np.uint64), h]), np.concatenate([np.full(1, g.n, np.int64), n])
+        cut = np.append(np.searchsorted(h, edges[lo:hi]), len(h))
+        full = np.flatnonzero(np.diff(cut))
+        parts = [slice(a, b) for a, b in zip(cut[full].tolist(), cut[full + 1].tolist(), strict=True)]
+        block = np.full(len(full), table.column("block")[0].as_py(), np.int32)
+        blobs = (pa.array([_packed(x[part]) for part in parts], pa.binary()) for x in (h, n))
+        return pa.table([pa.array((full + lo).astype(np.int32)), pa.array(block), *blobs], names=["bucket", "block", "h", "n"])
 
     return run
 
 
-def _look(keys: np.ndarray, values: np.ndarray, want: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """values where ``want`` is among the sorted keys, else ``other``."""
-    if not len(keys):
-        return other
-    at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-    return np.where(keys[at] == want, values[at], other)
+def _add_bucket(table: pa.Table) -> pa.Table:
+    """The rows of a bucket -> for each block, how often its n-grams there occur in other blocks."""
+    h, n = (_unpacked(table.column(c).to_pylist(), kind) for c, kind in (("h", np.uint64), ("n", np.int64)))
+    cut = np.cumsum([0, *map(len, h)]).tolist()
+    h, n = np.concatenate(h), np.concatenate(n)
+    by = np.argsort(h, kind="stable")
+    h = h[by]
+    new = np.append(True, h[1:] != h[:-1])
+    rest = np.empty_like(n)
+    rest[by] = np.add.reduceat(n[by], np.flatnonzero(new))[np.cumsum(new) - 1]
+    rest -= n
+    blobs = [_packed(rest[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    return pa.table([table.column("block"), table.column("bucket"), pa.array(blobs, pa.binary())], names=["block", "bucket", "elsewhere"])
+
+
+def _in_other_documents(g: Grams, row: np.ndarray, elsewhere: np.ndarray) -> dict[int, np.ndarray]:
+    """Per order, how often the n-gram that ends at each word occurs in other documents.
+
+    ``elsewhere`` lies beside the block's different n-grams, ascending.
+    """
+    grams, rows = g.all(), np.concatenate([row[g.ok[k]] for k in g.ok])
+    by = np.argsort(grams, kind="stable")  # rows ascend within an n-gram
+    grams, rows = grams[by], rows[by]
+    new = np.ones(len(grams), bool)
+    new[1:] = grams[1:] != grams[:-1]
+    if int(new.sum()) != len(elsewhere):
+        raise ValueError("counts do not belong to this block")
+    other = new.copy()
+    other[1:] |= rows[1:] != rows[:-1]
+    size = lambda flags: np.diff(np.append(np.flatnonzero(flags), len(flags)))
+    in_block = (size(new) + elsewhere)[np.cumsum(new) - 1]
+    found = np.empty(len(grams), np.int64)
+    found[by] = in_block - np.repeat(size(other), size(other))
+    out, done = {}, 0
+    for k, ok in g.ok.items():
+        n = int(ok.sum())
+        out[k] = np.zeros(g.n, np.int64)
+        out[k][ok] = found[done : done + n]
+        done += n
+    return out
 
 
 def _score_block(order: int, discount: float):
-    def run(docs: pa.Table, shared: pa.Table) -> pa.Table:
-        keys, values = K.unsigned(shared.column("h")), shared.column("total").to_numpy()
-        by = np.argsort(keys)
-        keys, values = keys[by], values[by].astype(np.int64)
+    def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
+        blobs = counts.column("elsewhere").take(pa.array(np.argsort(counts.column("bucket").to_numpy())))
+        elsewhere = np.concatenate(_unpacked(blobs.to_pylist()))
         g = Grams(docs.column("text"), order)
-        row = np.repeat(np.arange(len(g.count)), g.count).astype(np.uint64)
-        total = int(_look(keys, values, np.array([_TOTAL], np.uint64), np.array([g.n]))[0])
-        rest = (total - g.count)[row.astype(np.int64)].astype(np.float64)  # words in other documents
+        row = np.repeat(np.arange(len(g.count), dtype=np.int32), g.count)
+        rest = (g.n + int(elsewhere[0]) - g.count)[row].astype(np.float64)  # words in other documents
+        found = _in_other_documents(g, row, elsewhere[1:])
         logp, seen_at = np.zeros(g.n), np.zeros(g.n, np.int8)
-        before = None
         for k in range(1, order + 1):
-            ok = g.ok[k]
-            grams, where, local = np.unique(g.hash[k][ok], return_inverse=True, return_counts=True)
-            corpus = _look(keys, values, grams, local)
-            pair = where.astype(np.uint64) * np.uint64(len(g.count) + 1) + row[ok]
-            _, inverse, own = np.unique(pair, return_inverse=True, return_counts=True)
-            others = np.zeros(g.n, np.int64)
-            others[ok] = corpus[where] - own[inverse]
+            others = found[k]
             seen = others > 0
             if k == 1:
                 logp = np.where(seen, np.log(np.maximum(others, 1) / np.maximum(rest, 1)), -np.log(rest + 1))
             else:
                 context = np.zeros(g.n, np.int64)
-                context[1:] = before[:-1]
+                context[1:] = found[k - 1][:-1]
                 fresh = np.log(np.maximum(others, 1) / np.maximum(context, 1))
-                logp = np.where(seen, fresh, np.where(ok, logp + math.log(discount), logp))
+                logp = np.where(seen, fresh, np.where(g.ok[k], logp + math.log(discount), logp))
             seen_at[seen] = k
-            before = others
-        sums = np.bincount(row.astype(np.int64), logp, minlength=len(g.count)).astype(np.float64)
-        top = np.bincount(row.astype(np.int64), seen_at == order, minlength=len(g.count)).astype(np.int64)
+        sums = np.bincount(row, logp, minlength=len(g.count)).astype(np.float64)
+        top = np.bincount(row, seen_at == order, minlength=len(g.count)).astype(np.int64)
         mean = np.where(g.count > 0, sums / np.maximum(g.count, 1), np.nan)
         return pa.table({"doc_id": docs.column("doc_id"), "n_words": pa.array(g.count.astype(np.int64)), "n_top": pa.array(top), "log_score": pa.array(sums), "mean_log_score": pa.array(mean, from_pandas=True)})
 
@@ -125,13 +175,13 @@ def score(docs: DataFrame, order: int = 3, discount: float = 0.4, block_bytes: i
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-size // block_bytes)))).cast("int"))
+    each = max(_BUCKETS, -(-size // _BUCKET_BYTES))
     counts, scored = [], []
     for turn in range(rounds):
-        rows = docs.groupBy("block").applyInArrow(_count_block(order, rounds, turn), "h long, block int, n long")
-        rows = tmp.save(rows, f"grams-{turn}")
-        totals = rows.groupBy("h").agg(F.sum("n").alias("total"), F.count("*").alias("blocks")).where("blocks > 1").select("h", "total")
-        counts.append(tmp.save(rows.join(totals, "h").select("block", "h", "total"), f"counts-{turn}"))
-        tmp.drop(f"grams-{turn}")
+        run = _count_block(order, rounds * each, turn * each, (turn + 1) * each)
+        rows = docs.groupBy("block").applyInArrow(run, "bucket int, block int, h binary, n binary")
+        rows = rows.groupBy("bucket").applyInArrow(_add_bucket, "block int, bucket int, elsewhere binary")
+        counts.append(tmp.save(rows, f"counts-{turn}"))
     shared = reduce(DataFrame.union, counts)
     for turn in range(rounds):
         group = F.col("block") % rounds == turn

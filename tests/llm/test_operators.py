@@ -1,5 +1,6 @@
 """Every operator against a plain re-statement, on whole small tables and on awkward rows."""
 
+import os
 import hashlib
 import math
 import random
@@ -662,3 +663,27 @@ def test_licence_scores_equal_plain_tf_idf(spark):
         best = max((sum(a[w] * b.get(w, 0) for w in a) / norm(a) / norm(b), n) for n, t in license_scan.TEMPLATES for b in [weigh(terms(t))])
         got = out[f"d{i}/f{i}.txt"]
         assert got["score"] == (pytest.approx(best[0], abs=1e-6) if best[0] >= 0.6 else None)
+
+
+def test_lm_counts_need_little_disk(spark, monkeypatch):
+    """What goes back to the blocks is smaller than the text, and n-grams themselves are never written."""
+    import glob
+    import random
+
+    from lexstrata.llm.scratch import Scratch
+
+    written, save = {}, Scratch.save
+
+    def measured(self, df, name):
+        out = save(self, df, name)
+        written[name] = sum(os.path.getsize(f) for f in glob.glob(f"{self.base.removeprefix('file://').removeprefix('file:')}/{name}/*.parquet"))
+        return out
+
+    monkeypatch.setattr(Scratch, "save", measured)
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(300)]
+    data = [(i, " ".join(rng.choices(words, k=400))) for i in range(300)]
+    assert lm_score.score(frame(spark, data), block_bytes=200_000).count() == 300
+    size = sum(len(t) for _, t in data)
+    assert 0 < sum(n for name, n in written.items() if not name.startswith("scores")) < size
+    assert not any(name.startswith("grams") for name in written)
