@@ -453,29 +453,34 @@ class _Join:
     def leader_rounds(self) -> None:
         save = self.tmp.save
         keyed = self.made.select("cls", F.posexplode("mh").alias("j", "h"))
-        groups = keyed.groupBy("j", "h").agg(F.count("*").alias("m")).where("m > 1")
+        # written, as the heads are, else a join would take over the sum's partitioning and a hot min-hash could not be split
+        groups = save(keyed.groupBy("j", "h").agg(F.count("*").alias("m")).where("m > 1"), "groups")
         keyed = save(keyed.join(groups, ["j", "h"]), "minhashes")
+        self.tmp.drop("groups")
         if keyed.isEmpty():
             return
         mates = save(keyed.groupBy("cls").agg(F.sum("m").alias("mates")), "mates")
-        agree = F.aggregate(F.zip_with("mh", "mh2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)
-        best = lambda *by: F.max(F.struct(*by, "b"))["b"]
+        mh = lambda c: self.made.select(F.col("cls").alias(f"{c}_cls"), F.col("mh").alias(f"{c}_mh"))
+        head = lambda c: F.struct(F.col(f"{c}.cls").alias("b"), F.col(f"{c}.mates").alias("mates"), F.col(f"{c}.component").alias("component"), F.col(f"{c}_mh").alias("mh"))
+        agree = lambda x: F.aggregate(F.zip_with("mh", x["mh"], lambda v, w: (v == w).cast("int")), F.lit(0), lambda n, v: n + v)
+        best = lambda *by: F.array_max(F.transform("heads", lambda x: F.struct(*(x[c].alias(c) for c in by), x["b"].alias("b"))))["b"]
         for turn in range(LEADER_ROUNDS):
             now = keyed.join(mates, "cls").join(self.known.select("cls", "component"), "cls")
             by_hash = lambda i: F.xxhash64("cls", F.lit(2 * turn + i))  # noqa: B023, E731
             first = by_hash(0) if turn else F.col("mates")
             heads = now.groupBy("j", "h").agg(*(F.max(F.struct(o.alias("by"), "mates", "cls", "component")).alias(n) for n, o in (("p", first), ("q", by_hash(1)))), F.min("component").alias("x"), F.max("component").alias("y"))
-            near = now.select("j", "h", "cls", "component").join(heads.where("x != y").select("j", "h", "p", "q"), ["j", "h"])
-            near = near.select(F.col("cls").alias("a"), "component", F.explode(F.array("p", "q")).alias("b")).where("component != b.component")
-            near = save(near.groupBy("a", F.col("b.cls").alias("b")).agg(F.max("b.mates").alias("mates")), f"near-{turn}")
-            near = near.join(self.made.select(F.col("cls").alias("a"), "mh"), "a").join(self.made.select(F.col("cls").alias("b"), F.col("mh").alias("mh2")), "b")
-            near = near.withColumn("agree", agree).where(F.col("agree") >= AGREE)
-            # of the heads of its twelve groups a class tries the closest, the one with most mates, and one by hash
-            near = near.groupBy("a").agg(F.array_distinct(F.array(best("agree", "mates"), best("mates"), best(F.xxhash64("b")))).alias("b"))
-            near = near.select("a", F.explode("b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            near = save(near, f"near-pairs-{turn}")
+            heads = heads.where("x != y").select("j", "h", "p", "q", F.col("p.cls").alias("p_cls"), F.col("q.cls").alias("q_cls")).join(mh("p"), "p_cls").join(mh("q"), "q_cls")
+            heads = save(heads.select("j", "h", F.array(head("p"), head("q")).alias("heads")), f"heads-{turn}")
+            # a class gathers the heads of its twelve groups, two of each, in one row
+            near = now.join(heads, ["j", "h"]).select(F.col("cls").alias("a"), F.filter("heads", lambda x: x["component"] != F.col("component")).alias("heads")).where("size(heads) > 0")
+            near = near.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("heads"))).alias("heads")).join(self.made.select(F.col("cls").alias("a"), "mh"), "a")
+            judged = F.transform("heads", lambda x: F.struct(agree(x).alias("agree"), x["mates"].alias("mates"), F.xxhash64(x["b"]).alias("by"), x["b"].alias("b")))
+            near = near.select("a", F.filter(judged, lambda x: x["agree"] >= AGREE).alias("heads")).where("size(heads) > 0")
+            # it tries the closest, the one with most mates, and one by hash
+            near = near.select("a", F.explode(F.array_distinct(F.array(best("agree", "mates"), best("mates"), best("by")))).alias("b"))
+            near = save(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"near-pairs-{turn}")
             edges = self.verified(near, f"edges-near-{turn}")
-            self.tmp.drop(f"near-{turn}", f"near-pairs-{turn}")
+            self.tmp.drop(f"heads-{turn}", f"near-pairs-{turn}")
             if edges.isEmpty():
                 break
             self.link(edges, f"cc-near-{turn}")

@@ -687,3 +687,38 @@ def test_lm_counts_need_little_disk(spark, monkeypatch):
     size = sum(len(t) for _, t in data)
     assert 0 < sum(n for name, n in written.items() if not name.startswith("scores")) < size
     assert not any(name.startswith("grams") for name in written)
+
+
+def test_near_copies_write_few_rows(spark, monkeypatch):
+    """Heads gather in one row of a class, and an edge is one row."""
+    from lexstrata.llm.scratch import Scratch
+
+    written, save = {}, Scratch.save
+
+    def counted(self, df, name):
+        out = save(self, df, name)
+        if name.startswith(("near", "edges-near", "cc-near-0-edges-0", "zone", "classes")) and "texts" not in name:
+            written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "save", counted)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(120)]
+    data = [(i, " ".join(rng.choice("abc") + w if rng.random() < 0.02 else w for w in base)) for i in range(120)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.link_near_copies(frame(spark, data)).collect()}
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in data}
+    comp = {i: i for i in sets}
+
+    def top(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+
+    for i in sets:
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                x, y = sorted((top(i), top(j)))
+                comp[y] = x
+    assert got == {i: top(i) for i in sets}
+    assert "near-0" not in written and written["near-pairs-0"] <= 3 * written["classes"]
+    assert written["cc-near-0-edges-0"] <= written["edges-near-0"]
