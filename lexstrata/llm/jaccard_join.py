@@ -39,6 +39,8 @@ the class are null); further columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -57,6 +59,8 @@ LEADER_ROUNDS = 3
 PICK_ROUNDS = 2
 #: Part of the hash range that the screen looks at; a prefix is a little over a quarter of a set.
 ZONE = 0.36
+#: Equal parts of the zone, looked at one after the other: only one's shingles are on disk at a time.
+ZONE_ROUNDS = 2
 #: Bitmaps have 4 bits a shingle or more, up to 8 kB (then fewer; sparse ones exclude less, never more).
 BITS_PER_SHINGLE, MAX_BITS = 4, 1 << 16
 #: First shared shingles of a set by which repeated pairs are told.
@@ -94,8 +98,9 @@ class Sets:
         return K.mix(K.row_sums(K.mix(self.token ^ np.uint64(seed)), self.first) + self.n.astype(np.uint64))
 
 
-def _zone() -> np.uint64:
-    return np.uint64(int(ZONE * 2**64))
+def _zone(turn: int = ZONE_ROUNDS) -> np.uint64:
+    """Where a part of the zone begins; the end of the zone after the last."""
+    return np.uint64(int(ZONE * 2**64) * turn // ZONE_ROUNDS)
 
 
 def _summaries(k: int):
@@ -119,8 +124,8 @@ def _summaries(k: int):
     return run
 
 
-def _shingles(k: int, zone: np.uint64 | None):
-    """(text, cls, component) -> (token, cls, component) for the shingles below ``zone``, or all."""
+def _shingles(k: int, zone: tuple[np.uint64, np.uint64] | None):
+    """(text, cls, component) -> (token, cls, component) for the shingles from the first to below the second of ``zone``, or all."""
 
     def run(batches):
         for batch in batches:
@@ -128,7 +133,7 @@ def _shingles(k: int, zone: np.uint64 | None):
                 s = Sets(data, offsets, k)
                 token, row = s.token, s.row
                 if zone is not None:
-                    inside = token < zone
+                    inside = (token >= zone[0]) & (token < zone[1])
                     token, row = token[inside], row[inside]
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays([K.signed(token), *(batch.column(c).slice(first, last - first).take(at) for c in (1, 2))], names=["token", "cls", "component"])
@@ -490,10 +495,13 @@ class _Join:
         """Texts of the classes that the screen doesn't settle."""
         save = self.tmp.save
         rows = self.texts.select("cls", "text").join(self.known.select("cls", "component"), "cls").select("text", "cls", "component")
-        rows = save(rows.mapInArrow(_shingles(self.k, _zone()), "token long, cls long, component long"), "zone")
-        met = save(_apart(rows, "token").select("token"), "zone-met")
-        shared = save(rows.join(met, "token").groupBy("cls").agg(F.count("*").alias("shared")), "zone-shared")
-        self.tmp.drop("zone", "zone-met")
+        parts = []
+        for turn in range(ZONE_ROUNDS):
+            part = save(rows.mapInArrow(_shingles(self.k, (_zone(turn), _zone(turn + 1))), "token long, cls long, component long"), f"zone-{turn}")
+            met = save(_apart(part, "token").select("token"), f"zone-met-{turn}")
+            parts.append(save(part.join(met, "token").groupBy("cls").agg(F.count("*").alias("shared")), f"zone-part-{turn}"))
+            self.tmp.drop(f"zone-{turn}", f"zone-met-{turn}")
+        shared = save(reduce(DataFrame.union, parts).groupBy("cls").agg(F.sum("shared").alias("shared")), "zone-shared")
         left = self.known.join(shared, "cls").where(F.col("z") - F.col("shared") < F.col("n") - self.need + 1)
         # a class without any shared shingle in the zone may have too few of them to tell
         few = self.known.join(shared, "cls", "left_anti").where(F.col("z") < F.col("n") - self.need + 1)

@@ -690,7 +690,7 @@ def test_lm_counts_need_little_disk(spark, monkeypatch):
 
 
 def test_near_copies_write_few_rows(spark, monkeypatch):
-    """Heads gather in one row of a class, and an edge is one row."""
+    """Heads gather in one row of a class, an edge is one row, and the zone is looked at in parts."""
     from lexstrata.llm.scratch import Scratch
 
     written, save = {}, Scratch.save
@@ -722,3 +722,4 @@ def test_near_copies_write_few_rows(spark, monkeypatch):
     assert got == {i: top(i) for i in sets}
     assert "near-0" not in written and written["near-pairs-0"] <= 3 * written["classes"]
     assert written["cc-near-0-edges-0"] <= written["edges-near-0"]
+    assert "zone" not in written and 0 < written["zone-0"] < 0.7 * (written["zone-0"] + written["zone-1"])
