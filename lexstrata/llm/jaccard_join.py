@@ -23,8 +23,10 @@ Documents are sets of distinct word shingles; two link at Jaccard >= ``percent``
    sets must also reach it with what follows the block's shingle in both orders, and is
    left to the block of an earlier common shingle.  Blocks over ``block_rows`` are dealt
    by size band and hash to pairs of parts, the top level of the tree.
-6. What is left is verified on whole texts: in two rounds one pair of each component, which
-   joins most groups of near copies, then every pair that components still divide.
+6. What is left is verified on whole texts.  In two passes each block gives one pair, the
+   closest, of each component in it, so no more rows than it has, and tells whether it left
+   any out.  Blocks that did, and that the components made so still divide, are passed
+   again with wide bitmaps, which come close to counting; the last pass leaves out none.
    Components are taken over all links.
 
 Counts are pre-aggregated and come back by joins of written tables, which adaptive
@@ -55,7 +57,7 @@ MINHASHES = 12
 #: Equal min-hashes that make a leader pair worth verifying.
 AGREE = 7
 LEADER_ROUNDS = 3
-#: Rounds that verify one candidate pair of each component before all are.
+#: Passes over the blocks that verify one candidate pair of each component before all are.
 PICK_ROUNDS = 2
 #: Part of the hash range that the screen looks at; a prefix is a little over a quarter of a set.
 ZONE = 0.36
@@ -63,6 +65,8 @@ ZONE = 0.36
 ZONE_ROUNDS = 2
 #: Bitmaps have 4 bits a shingle or more, up to 8 kB (then fewer; sparse ones exclude less, never more).
 BITS_PER_SHINGLE, MAX_BITS = 4, 1 << 16
+#: Bits a shingle in blocks that are passed again, up to 16 kB.
+WIDE_BITS, MAX_WIDE_BITS = 32, 1 << 17
 #: First shared shingles of a set by which repeated pairs are told.
 HEAD = 16
 _FAN = 4
@@ -125,7 +129,7 @@ def _summaries(k: int):
 
 
 def _shingles(k: int, zone: tuple[np.uint64, np.uint64] | None):
-    """(text, cls, component) -> (token, cls, component) for the shingles from the first to below the second of ``zone``, or all."""
+    """(text, further columns) -> (token, further columns) for the shingles from the first to below the second of ``zone``, or all."""
 
     def run(batches):
         for batch in batches:
@@ -135,30 +139,30 @@ def _shingles(k: int, zone: tuple[np.uint64, np.uint64] | None):
                 if zone is not None:
                     inside = (token >= zone[0]) & (token < zone[1])
                     token, row = token[inside], row[inside]
-                at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([K.signed(token), *(batch.column(c).slice(first, last - first).take(at) for c in (1, 2))], names=["token", "cls", "component"])
+                at, more = pa.array(row), batch.schema.names[1:]
+                yield pa.RecordBatch.from_arrays([K.signed(token), *(batch.column(c).slice(first, last - first).take(at) for c in more)], names=["token", *more])
 
     return run
 
 
-def bitmap(tokens: np.ndarray) -> bytes:
+def bitmap(tokens: np.ndarray, each: int = BITS_PER_SHINGLE, most: int = MAX_BITS) -> bytes:
     """A set's bitmap: a power of two of bits, at least 64."""
     bits = 64
-    while bits < BITS_PER_SHINGLE * len(tokens) and bits < MAX_BITS:
+    while bits < each * len(tokens) and bits < most:
         bits *= 2
     out = np.zeros(bits, bool)
     out[(K.mix(tokens + np.uint64(0xB175)) & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(out, bitorder="little").tobytes()
 
 
-def _bitmaps(k: int):
+def _bitmaps(k: int, each: int, most: int):
     """(text, cls) -> (cls, bits)."""
 
     def run(batches):
         for batch in batches:
             for first, last, data, offsets in K.pieces(batch.column(0)):
                 s = Sets(data, offsets, k)
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(first, last - first), pa.array([bitmap(s.row_set(r)) for r in range(s.rows)], pa.binary())], names=["cls", "bits"])
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(first, last - first), pa.array([bitmap(s.row_set(r), each, most) for r in range(s.rows)], pa.binary())], names=["cls", "bits"])
 
     return run
 
@@ -203,9 +207,9 @@ class Signatures:
             out[at] = np.bitwise_or.reduce(raw.reshape(len(at), own // width, width), axis=1)
         return out
 
-    def may_link(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
-        """Whether the bitmaps of rows i and j leave room for the overlap that a link needs."""
-        ok = np.zeros(len(i), bool)
+    def bound(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """What the bitmaps of rows i and j allow their overlap to be at most."""
+        bound = np.zeros(len(i), np.int64)
         width = np.minimum(self.width[i], self.width[j])
         for w in np.unique(width).tolist():
             own = np.flatnonzero(width == w)
@@ -214,9 +218,12 @@ class Signatures:
                 at = own[lo : lo + step]
                 a, b = self.folded(i[at], w), self.folded(j[at], w)
                 count = lambda x: np.bitwise_count(x).sum(1, dtype=np.int64)
-                bound = count(a & b) + np.minimum(self.n[i[at]] - count(a), self.n[j[at]] - count(b))
-                ok[at] = (100 + percent) * bound >= percent * (self.n[i[at]] + self.n[j[at]])
-        return ok
+                bound[at] = count(a & b) + np.minimum(self.n[i[at]] - count(a), self.n[j[at]] - count(b))
+        return bound
+
+    def may_link(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+        """Whether the bitmaps of rows i and j leave room for the overlap that a link needs."""
+        return (100 + percent) * self.bound(i, j) >= percent * (self.n[i] + self.n[j])
 
 
 class Tree:
@@ -285,6 +292,8 @@ class Block:
         column = lambda c: t.column(c).to_numpy()
         self.cls, self.component, self.n, self.rank, self.pos, self.side = (column(c) for c in ("cls", "component", "n", "rank", "pos", "side"))
         self.key = np.stack([column(c) for c in ("token", "pa", "pb")])
+        self.cut = np.concatenate([[0], np.flatnonzero((self.key[:, 1:] != self.key[:, :-1]).any(0)) + 1, [t.num_rows]])
+        self.block = np.repeat(np.arange(len(self.cut) - 1), np.diff(self.cut))
         self.sig = Signatures(t.column("bits").to_pylist(), self.n)
         self.near = np.array(t.column("mh").to_pylist(), np.int64).reshape(t.num_rows, -1)
         heads = t.column("head").to_pylist()
@@ -310,10 +319,24 @@ class Block:
             ok[lo : lo + (1 << 12)] = ~same.any((1, 2))
         return ok
 
-    def pairs(self, i, j) -> pa.RecordBatch:
-        ok = self.first_here(i, j)
-        i, j = self.cls[i[ok]], self.cls[j[ok]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
+    def best(self, i, j) -> np.ndarray:
+        """Whether a pair is the closest, by bitmaps, that one of its components has in its block."""
+        pair = np.tile(np.arange(len(i)), 2)
+        block, component = self.block[i[pair]], np.concatenate([self.component[i], self.component[j]])
+        order = np.lexsort(((self.sig.bound(i, j) / (self.n[i] + self.n[j]))[pair], component, block))
+        block, component = block[order], component[order]
+        last = np.ones(len(order), bool)
+        last[:-1] = (block[1:] != block[:-1]) | (component[1:] != component[:-1])
+        ok = np.zeros(len(i), bool)
+        ok[pair[order[last]]] = True
+        return ok
+
+    def found(self, i, j, left=()) -> pa.RecordBatch:
+        """Pairs of classes, and a row for each block (by its first row) that left out some."""
+        i, j, gone = self.cls[i], self.cls[j], pa.nulls(len(left), pa.int64())
+        ends = (pa.concat_arrays([pa.array(x(i, j)), gone]) for x in (np.minimum, np.maximum))
+        token = pa.concat_arrays([pa.nulls(len(i), pa.int64()), pa.array(self.key[0][np.asarray(left, np.int64)])])
+        return pa.RecordBatch.from_arrays([*ends, token], names=["a", "b", "token"])
 
     def small(self, percent: int, starts: np.ndarray, m: int):
         """Pairs within blocks of ``m`` rows that begin at ``starts``: a leaf each."""
@@ -325,7 +348,9 @@ class Block:
             ok = self.cheap(i, j, percent)
             i, j = i[ok], j[ok]
             ok = self.sig.may_link(i, j, percent)
-            yield self.pairs(i[ok], j[ok])
+            i, j = i[ok], j[ok]
+            ok = self.first_here(i, j)
+            yield i[ok], j[ok]
 
     def trees(self, percent: int, lo: int, hi: int):
         """Pairs of a larger block, by dual traversal of one tree for each width (and side)."""
@@ -342,25 +367,38 @@ class Block:
                 y = x if same and v == w else Tree(self.sig.folded(q, at), self.n[q])
                 for i, j in dual(x, y, percent, x is y):
                     ok = self.cheap(p[i], q[j], percent)
-                    yield self.pairs(p[i[ok]], q[j[ok]])
+                    i, j = p[i[ok]], q[j[ok]]
+                    ok = self.first_here(i, j)
+                    yield i[ok], j[ok]
 
 
-def _block_pairs(percent: int):
+def _block_pairs(percent: int, pick: bool):
     """Rows sorted by (token, part a, part b) -> candidate pairs (a, b) of classes not connected yet.
 
     A block's rows carry side 0 (in part a), 1 (in part b) or 2 (both are the same part).
+    With ``pick`` only the closest of each component, and the token of blocks that have others.
     """
 
     def found(t: pa.Table):
         block = Block(t)
-        cut = np.flatnonzero((block.key[:, 1:] != block.key[:, :-1]).any(0)) + 1
-        cut = np.concatenate([[0], cut, [t.num_rows]])
-        size, start = np.diff(cut), cut[:-1]
+        size, start = np.diff(block.cut), block.cut[:-1]
         leaf = (size <= _SMALL) & (block.side[start] == 2)
         for m in np.unique(size[leaf & (size > 1)]).tolist():
-            yield from block.small(percent, start[leaf & (size == m)], m)
-        for b in np.flatnonzero(~leaf & (size > 1)):
-            yield from block.trees(percent, cut[b], cut[b + 1])
+            for i, j in block.small(percent, start[leaf & (size == m)], m):
+                ok = block.best(i, j) if pick else np.ones(len(i), bool)
+                yield block.found(i[ok], j[ok], start[np.unique(block.block[i[~ok]])])
+        for b in np.flatnonzero(~leaf & (size > 1)).tolist():
+            i = j = np.zeros(0, np.int64)
+            left = []
+            for p, q in block.trees(percent, block.cut[b], block.cut[b + 1]):
+                if not pick:
+                    yield block.found(p, q)
+                    continue
+                i, j = np.concatenate([i, p]), np.concatenate([j, q])
+                ok = block.best(i, j)
+                left = left if ok.all() else [start[b]]
+                i, j = i[ok], j[ok]
+            yield block.found(i, j, left)
 
     def run(batches):
         held = None
@@ -492,15 +530,22 @@ class _Join:
         self.tmp.drop("minhashes", "mates")
 
     def open_texts(self) -> DataFrame:
-        """Texts of the classes that the screen doesn't settle."""
+        """Texts of the classes that the screen doesn't settle.
+
+        Texts are only scanned here; components come to the shingles that two classes have.
+        """
         save = self.tmp.save
-        rows = self.texts.select("cls", "text").join(self.known.select("cls", "component"), "cls").select("text", "cls", "component")
+        rows, of = self.texts.select("text", "cls"), self.known.select("cls", "component")
         parts = []
         for turn in range(ZONE_ROUNDS):
-            part = save(rows.mapInArrow(_shingles(self.k, (_zone(turn), _zone(turn + 1))), "token long, cls long, component long"), f"zone-{turn}")
-            met = save(_apart(part, "token").select("token"), f"zone-met-{turn}")
-            parts.append(save(part.join(met, "token").groupBy("cls").agg(F.count("*").alias("shared")), f"zone-part-{turn}"))
-            self.tmp.drop(f"zone-{turn}", f"zone-met-{turn}")
+            part = save(rows.mapInArrow(_shingles(self.k, (_zone(turn), _zone(turn + 1))), "token long, cls long"), f"zone-{turn}")
+            twice = part.groupBy("token").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x != y").select("token")
+            twice = save(twice, f"zone-twice-{turn}")
+            common = save(part.join(twice, "token").join(of, "cls"), f"zone-common-{turn}")
+            self.tmp.drop(f"zone-{turn}", f"zone-twice-{turn}")
+            met = save(_apart(common, "token").select("token"), f"zone-met-{turn}")
+            parts.append(save(common.join(met, "token").groupBy("cls").agg(F.count("*").alias("shared")), f"zone-part-{turn}"))
+            self.tmp.drop(f"zone-common-{turn}", f"zone-met-{turn}")
         shared = save(reduce(DataFrame.union, parts).groupBy("cls").agg(F.sum("shared").alias("shared")), "zone-shared")
         left = self.known.join(shared, "cls").where(F.col("z") - F.col("shared") < F.col("n") - self.need + 1)
         # a class without any shared shingle in the zone may have too few of them to tell
@@ -508,7 +553,8 @@ class _Join:
         left = left.select("cls", "component").union(few.select("cls", "component"))
         return save(self.texts.join(left, "cls").select("text", "cls", "component", "n"), "open")
 
-    def candidates(self) -> DataFrame:
+    def prefixes(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Rows of blocks; the first shared shingles of each class that has any; open texts."""
         save = self.tmp.save
         texts = self.open_texts()
         rows = save(texts.select("text", "cls", "component").mapInArrow(_shingles(self.k, None), "token long, cls long, component long"), "rows")
@@ -529,35 +575,47 @@ class _Join:
         posts = save(posts.withColumn("pos", F.row_number().over(Window.partitionBy("cls").orderBy("rank")) - 1), "posts")
         heads = posts.where(F.col("pos") < HEAD).groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("h")).select("cls", F.col("h.token").alias("head"))
         heads = save(heads, "heads")  # a row for each class that has posts
-        bits = texts.join(heads.select("cls"), "cls").select("text", "cls").mapInArrow(_bitmaps(self.k), "cls long, bits binary")
-        signatures = save(bits.join(heads, "cls").join(self.made.select("cls", F.slice("mh", 1, 3).alias("mh")), "cls"), "signatures")
+        return posts, heads, texts.select("text", "cls")
+
+    def candidates(self, posts: DataFrame, heads: DataFrame, texts: DataFrame, turn: int) -> DataFrame:
+        """Rows of one pass over the blocks; the last gives every pair."""
+        save = self.tmp.save
+        width = (WIDE_BITS, MAX_WIDE_BITS) if turn else (BITS_PER_SHINGLE, MAX_BITS)
+        bits = texts.join(heads.select("cls"), "cls").select("text", "cls").mapInArrow(_bitmaps(self.k, *width), "cls long, bits binary")
+        signatures = save(bits.join(heads, "cls").join(self.made.select("cls", F.slice("mh", 1, 3).alias("mh")), "cls"), f"signatures-{turn}")
         # written, else the join would take over the sum's partitioning and a hot shingle could not be split
-        sizes = save(posts.groupBy("token").agg(F.count("*").alias("m")), "sizes")
+        sizes = save(posts.groupBy("token").agg(F.count("*").alias("m")), f"sizes-{turn}")
         blocks = _blocks(posts.join(sizes, "token").join(signatures, "cls"), self.block_rows, self.percent)
         blocks = blocks.select("token", "pa", "pb", "side", "cls", "component", "n", "rank", "pos", "head", "mh", "bits")
         blocks = blocks.repartition("token", "pa", "pb").sortWithinPartitions("token", "pa", "pb")
-        return save(blocks.mapInArrow(_block_pairs(self.percent), "a long, b long").distinct(), "pairs")
+        found = save(blocks.mapInArrow(_block_pairs(self.percent, turn < PICK_ROUNDS), "a long, b long, token long"), f"found-{turn}")
+        self.tmp.drop(f"signatures-{turn}", f"sizes-{turn}")
+        return found
 
-    def link_candidates(self, pairs: DataFrame) -> None:
-        """Verify candidates: first one pair for each component, by hash, as long as that links
-        any; then all pairs that components still divide."""
-        of = lambda c: self.known.select(F.col("cls").alias(c), F.col("component").alias(f"c{c}"))
+    def link_candidates(self, posts: DataFrame, heads: DataFrame, texts: DataFrame) -> None:
+        """Verify the pairs of each pass; blocks that left out some, and have two components yet, are passed again."""
+        save = self.tmp.save
         for turn in range(PICK_ROUNDS + 1):
-            pairs = self.tmp.save(pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").where("ca != cb"), f"divided-{turn}")
-            if pairs.isEmpty():
+            found = self.candidates(posts, heads, texts, turn)
+            pairs = save(found.where("token is null").select("a", "b").distinct(), f"pairs-{turn}")
+            if not pairs.isEmpty():
+                edges = self.verified(pairs, f"edges-exact-{turn}")
+                if not edges.isEmpty():
+                    self.link(edges, f"cc-exact-{turn}")
+            again = save(found.where("token is not null").select("token").distinct(), f"again-{turn}")
+            if again.isEmpty():
+                return
+            posts = save(posts.join(again, "token").drop("component").join(self.known.select("cls", "component"), "cls"), f"posts-again-{turn}")
+            met = save(_apart(posts, "token").select("token"), f"met-again-{turn}")
+            posts = save(posts.join(met, "token"), f"posts-{turn + 1}")
+            heads = save(heads.join(posts.select("cls").distinct(), "cls"), f"heads-again-{turn}")
+            if heads.isEmpty():
                 return
-            chosen = pairs.select("a", "b")
-            if turn < PICK_ROUNDS:
-                one = F.max(F.struct(F.xxhash64("a", "b", F.lit(turn)), "a", "b")).alias("p")
-                chosen = pairs.groupBy("ca").agg(one).select("p.a", "p.b").union(pairs.groupBy("cb").agg(one).select("p.a", "p.b")).distinct()
-            edges = self.verified(self.tmp.save(chosen, f"chosen-{turn}"), f"edges-exact-{turn}")
-            if not edges.isEmpty():
-                self.link(edges, f"cc-exact-{turn}")
 
     def run(self) -> DataFrame:
         self.classes()
         self.leader_rounds()
-        self.link_candidates(self.candidates())
+        self.link_candidates(*self.prefixes())
         first = self.known.groupBy("component").agg(F.min("leader").alias("component_id"))
         named = self.made.select("cls", "s1", "s2", "n").join(self.known.select("cls", "component"), "cls").join(first, "component")
         named = self.tmp.save(named.select("s1", "s2", "n", "component_id"), "named")

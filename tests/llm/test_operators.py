@@ -723,3 +723,50 @@ def test_near_copies_write_few_rows(spark, monkeypatch):
     assert "near-0" not in written and written["near-pairs-0"] <= 3 * written["classes"]
     assert written["cc-near-0-edges-0"] <= written["edges-near-0"]
     assert "zone" not in written and 0 < written["zone-0"] < 0.7 * (written["zone-0"] + written["zone-1"])
+
+
+def test_screen_of_near_copies_only_scans_texts(spark, monkeypatch):
+    """Whole texts are not shuffled for the zone; components join the shingles that classes share."""
+    from lexstrata.llm.scratch import Scratch
+
+    plans, save = {}, Scratch.save
+
+    def seen(self, df, name):
+        if name in ("zone-0", "zone-common-0"):
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return save(self, df, name)
+
+    monkeypatch.setattr(Scratch, "save", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        words = [f"w{i}" for i in range(80)]
+        data = [(1, " ".join(words)), (2, " ".join([*words[:70], "x"])), (3, " ".join(words[40:60] + ["a"] * 60)), (4, "one two three four five six")]
+        got = {r["doc_id"]: r["component_id"] for r in jaccard_join.link_near_copies(frame(spark, data)).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert not any(x in plans["zone-0"] for x in ("Join", "Exchange"))
+    assert "text#" not in plans["zone-common-0"]
+
+
+def test_blocks_of_near_copies_give_no_more_pairs_than_rows():
+    """A pass picks the closest pair of each component, names blocks that have others, and the last pass gives all."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 200, np.uint64)
+    for m in (20, 300):  # a leaf, a tree
+        sets = [np.sort(np.concatenate([rng.permutation(base)[:190], rng.integers(0, 2**63, 10, np.uint64)])) for _ in range(m)]
+        same = lambda v: pa.array([v] * m, pa.int64())  # noqa: B023, E731
+        own = pa.array(range(m), pa.int64())
+        columns = {"token": same(7), "pa": same(0), "pb": same(0), "side": same(2), "cls": own, "component": own, "n": same(200), "rank": same(0), "pos": same(0)}
+        columns |= {"head": pa.array([[7]] * m, pa.list_(pa.int64())), "mh": pa.array([[i, i, i] for i in range(m)], pa.list_(pa.int64())), "bits": pa.array([jaccard_join.bitmap(s) for s in sets], pa.binary())}
+        batch = pa.RecordBatch.from_pydict(columns)
+        run = lambda pick: [r for out in jaccard_join._block_pairs(75, pick)([batch]) for r in out.to_pylist()]  # noqa: B023, E731
+        every = {(r["a"], r["b"]) for r in run(False)}
+        assert len(every) == m * (m - 1) // 2
+        picked = run(True)
+        pairs = [(r["a"], r["b"]) for r in picked if r["token"] is None]
+        assert 0 < len(pairs) <= m and set(pairs) <= every and {x for p in pairs for x in p} == set(range(m))
+        assert [r["token"] for r in picked if r["token"] is not None] == [7]
