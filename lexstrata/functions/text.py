@@ -28,6 +28,12 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
+def strip_cheaply(c: Column) -> Column:
+    """``strip`` of a column that is at hand: only what does not both begin and end with a plain sign meets a pattern."""
+    plain = F.ascii(c).between(33, 126) & F.ascii(F.substring(c, -1, 1)).between(33, 126)
+    return F.when(plain, c).otherwise(strip(c))
+
+
 def squeeze(c: Column) -> Column:
     """Stripped, with every run of white space as one space."""
     return strip(F.regexp_replace(c, r"(?U)\s+", " "))

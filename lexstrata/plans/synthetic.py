@@ -71,13 +71,18 @@ def legal_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ocr_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(img_id, i, text, conf, left, top, width, height)."""
-    items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(*(F.min(c).alias(c) for c in ("l_partkey", "l_suppkey", "l_quantity")))
-    items = items.select("*", F.explode(F.array(*map(F.lit, range(4)))).alias("c"))
+    """(img_id, i, text, conf, left, top, width, height).
+
+    Items are dealt by picture first: they are fewer and smaller rows to shuffle than their words.
+    """
+    own = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").repartition("l_orderkey")
+    items = own.groupBy("l_orderkey", "l_linenumber").agg(*(F.min(c).alias(c) for c in ("l_partkey", "l_suppkey", "l_quantity")))
+    texts = [F.expr(OCR_WORD.replace("CASE c ", f"CASE {c} ")) for c in range(4)]
+    items = items.select("l_orderkey", "l_linenumber", F.posexplode(F.array(*texts)).alias("c", "text"))
     return items.select(
         F.col("l_orderkey").alias("img_id"),
         (F.col("l_linenumber") * 4 + F.col("c")).cast("int").alias("i"),
-        F.expr(OCR_WORD).alias("text"),
+        "text",
         F.lit(90.0).alias("conf"),
         (F.col("c") * 100).cast("int").alias("left"),
         (F.col("l_linenumber") * 40 + F.col("c")).cast("int").alias("top"),

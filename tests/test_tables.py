@@ -74,3 +74,32 @@ def test_placeholder(spark):
     tables = OCR.build_tables(words(spark, [(0, [(0, "a")])]))
     out = {r["img_id"]: r["md"] for r in OCR.with_placeholder(images, tables).collect()}
     assert out[1] == ["", "a", ""] and out[2] == ["> **[Tabla no extraíble — ver PDF original, página 5]**"]
+
+
+def test_words_are_dealt_once(spark):
+    """Rows, columns and tables of pictures need one exchange of the items, and words are grouped by picture once."""
+    from lexstrata.plans import catalogue
+
+    for name in ("ocr_rows", "ocr_columns", "ocr_tables"):
+        plan = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+        full = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert full.count("Exchange ") == 1 and "Join" not in plan and plan.count("collect_list") <= 4
+
+
+def test_picture_rows_are_the_same(spark):
+    """Rows made inside a picture equal those of words with row keys; close keys and ties in place included."""
+    import random
+
+    rng = random.Random(5)
+    flat = [(img, i, rng.choice(["1", "22%", "$3", "uno", "nota"]), 90.0, rng.choice([0, 50, 50, 100]), rng.randrange(0, 90), 10, rng.choice([9, 10])) for img in range(60) for i in range(rng.randrange(1, 30))]
+    data = spark.createDataFrame(flat, SCHEMA)
+    plain = {}
+    for img, i, text, _, left, top, width, height in flat:
+        keys = plain.setdefault(img, {})
+        y = top + height // 2
+        keys.setdefault(next((k for k in keys if abs(k - y) <= 12), y), []).append((left, i, text))
+    want = sorted((img, no, " ".join(w[2] for w in sorted(keys[k]))) for img, keys in plain.items() for no, k in enumerate(sorted(keys)))
+    split = OCR.table_rows(OCR.assign_rows(data)).drop("ws")
+    whole = OCR.picture_rows(data).select("img_id", F.inline("rows")).drop("ws")
+    assert sorted((r["img_id"], r["row_no"], r["text"]) for r in whole.collect()) == want
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, split.collect()))
