@@ -23,6 +23,11 @@ ACCENTED = "".join(c for c in map(chr, range(0xC0, 0x2200)) if _base(c) != c and
 PLAIN = "".join(map(_base, ACCENTED))
 
 
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, also inside a lambda, and that no filter copies."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Without leading and trailing white space of any kind."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")

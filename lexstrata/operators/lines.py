@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import all_caps, squeeze, strip
+from ..functions.text import all_caps, let, squeeze, strip, strip_cheaply
 
 
 def explode_lines(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -30,10 +30,10 @@ def page_lines(pages: DataFrame, pictures: DataFrame | None = None) -> DataFrame
     ``pictures`` (doc_id, page, region, md: array of lines) stand between the regions of
     text as they are.
     """
-    each = pages.select("doc_id", "page", "region", "total_pages", F.posexplode(F.split("text", "\n")).alias("n", "text"))
-    each = each.withColumn("text", clean_markers(F.col("text"), F.col("total_pages")))
-    each = each.where((F.col("text") != "") & ~is_furniture(F.col("text")))
-    each = each.select("doc_id", "page", "region", "n", "text")
+    # a line is cleaned inside the array: a filter behind it would clean it anew for each of its tests
+    clean = F.transform(F.split("text", "\n"), lambda line, n: F.struct(n.alias("n"), clean_markers(line, F.col("total_pages")).alias("text")))
+    kept = F.filter(clean, lambda e: (e["text"] != "") & ~is_furniture(e["text"]))
+    each = pages.select("doc_id", "page", "region", F.inline(kept))
     if pictures is not None:
         each = each.unionByName(pictures.select("doc_id", "page", "region", F.posexplode("md").alias("n", "text")))
     order = Window.partitionBy("doc_id").orderBy("page", "region", "n")
@@ -44,17 +44,21 @@ def clean_markers(line: Column, total_pages: Column, strict: bool = False) -> Co
     """Without page markers such as ``12 de 313``; the pattern follows the document's page count."""
     left, right = (r"(?<!\d)", r"(?!\d)") if strict else ("", "")
     pattern = F.concat(F.lit(rf"(?U)\s*{left}\d{{1,4}}\s+de\s+"), total_pages.cast("string"), F.lit(rf"{right}\s*"))
-    return strip(F.regexp_replace(line, pattern, F.lit(" ")))
+    may = total_pages.isNull() | (F.contains(line, F.lit("de")) & F.contains(line, total_pages.cast("string")))
+    return let(F.when(may, F.regexp_replace(line, pattern, F.lit(" "))).otherwise(line), strip_cheaply)
 
 
 def is_furniture(line: Column, strict: bool = False) -> Column:
     """Whether a line is page furniture: fixed texts, the law's title, its reform date."""
-    text = strip(line)
-    fixed = F.lit(False)
-    for words in P.FURNITURE:
-        fixed = fixed | text.contains(words)
     title = (P.STRICT if strict else P.COMPAT).title_line
-    return fixed | text.rlike(title) | text.rlike(P.REFORM_LINE)
+
+    def test(text: Column) -> Column:
+        fixed = F.lit(False)
+        for words in P.FURNITURE:
+            fixed = fixed | text.contains(words)
+        return fixed | text.rlike(title) | text.rlike(P.REFORM_LINE)
+
+    return let(strip_cheaply(line), test)
 
 
 def running_headers(lines: DataFrame, strict: bool = False) -> DataFrame:

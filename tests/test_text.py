@@ -98,6 +98,20 @@ def test_page_lines(spark):
     assert [r["text"] for r in out.orderBy("line_no").collect()] == ["a", "b", "c"]
 
 
+def test_page_lines_are_cleaned_once(spark):
+    """No filter repeats the patterns that clean a line."""
+    from lexstrata.plans import catalogue
+
+    plan = catalogue.QUERIES["page_lines"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") <= 3
+
+
+def test_page_lines_marks_and_nulls(spark):
+    pages = [("d", 1, 0, "\u3000x 12 de 34\u2003y\u00a0\n3 de  34\n34 dedos\n1 de 3", 34), ("d", 2, 0, None, 34), ("e", 1, 0, "a", None)]
+    out = L.page_lines(spark.createDataFrame(pages, "doc_id string, page int, region int, text string, total_pages int"))
+    assert [(r["line_no"], r["text"]) for r in out.orderBy("line_no").collect()] == [(0, "x y"), (1, "34 dedos"), (2, "1 de 3")]
+
+
 def test_image_tables_and_regions(spark):
     box = "array<struct<x0:double,x1:double,y0:double,y1:double,top:double,bottom:double>>"
     rows = [(1, [(0.0, 300.0, 0.0, 200.0, None, None)], 0), (2, [(0.0, 300.0, 0.0, 200.0, None, None)], 1), (3, [(0.0, 200.0, 0.0, 200.0, None, None)], 0), (4, [], 0)]
