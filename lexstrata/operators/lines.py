@@ -67,8 +67,8 @@ def running_headers(lines: DataFrame, strict: bool = False) -> DataFrame:
     Of equally frequent ones the first to appear wins.  Counts are pre-aggregated.
     """
     least = (P.STRICT if strict else P.COMPAT).running_length
-    text = strip(F.col("text"))
-    caps = lines.where((F.char_length(text) >= least) & all_caps(text, 4))
+    long_caps = lambda text: (F.char_length(text) >= least) & all_caps(text, 4)
+    caps = lines.where(let(strip_cheaply(F.col("text")), long_caps))
     counts = caps.groupBy("doc_id", squeeze(F.col("text")).alias("header")).agg(F.count("*").alias("n"), F.min("line_no").alias("first"))
     best = counts.groupBy("doc_id").agg(F.min(F.struct((-F.col("n")).alias("k"), "first", "header")).alias("b"))
     return best.select("doc_id", "b.header", (-F.col("b.k")).alias("n")).where("n >= 3")
@@ -77,7 +77,7 @@ def running_headers(lines: DataFrame, strict: bool = False) -> DataFrame:
 def drop_running_headers(lines: DataFrame, strict: bool = False) -> DataFrame:
     """Lines without their document's running header, alone on a line or inside it."""
     joined = lines.join(running_headers(lines, strict).select("doc_id", "header"), "doc_id", "left")
-    text = strip(F.col("text"))
+    text = strip_cheaply(F.col("text"))
     joined = joined.where(F.col("header").isNull() | (squeeze(F.col("text")) != F.col("header")))
     inside = F.when(F.contains(text, F.col("header")), strip(F.replace(text, F.col("header"), F.lit(" ")))).otherwise(text)
     return joined.select("doc_id", "line_no", F.when(F.col("header").isNull(), F.col("text")).otherwise(inside).alias("text"))

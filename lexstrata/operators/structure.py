@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import all_caps, is_roman, strip
+from ..functions.text import all_caps, is_roman, let, strip, strip_cheaply
 from . import lines as L
 
 JOIN = "\x01"
@@ -44,12 +44,14 @@ def split_transitory(lines: DataFrame, p: P.Patterns) -> DataFrame:
     A line that stands where a part's name is due and reads like one stays whole; such a
     line never opens with the heading, so the test needs no look-behind.
     """
-    x = strip(F.col("text"))
-    opens = x.rlike(p.transitory) & ~x.startswith(">") & ~x.startswith("|")
-    head = _group(x, p.transitory, 1)
-    rest = strip(F.substring(x, F.char_length(head) + 1, F.char_length(x)))
-    parts = F.when(opens & (rest != ""), F.array(head, rest)).otherwise(F.array(x))
-    return lines.select("doc_id", "line_no", F.posexplode(parts).alias("sub_no", "x"))
+
+    def parts(x: Column) -> Column:
+        opens = x.rlike(p.transitory) & ~x.startswith(">") & ~x.startswith("|")
+        head = _group(x, p.transitory, 1)
+        rest = strip(F.substring(x, F.char_length(head) + 1, F.char_length(x)))
+        return F.when(opens & (rest != ""), F.array(head, rest)).otherwise(F.array(x))
+
+    return lines.select("doc_id", "line_no", F.posexplode(let(strip_cheaply(F.col("text")), parts)).alias("sub_no", "x"))
 
 
 def _order(doc: str = "doc_id"):

@@ -66,8 +66,10 @@ def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def legal_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = L.lines_by_document(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return lines.select("doc_id", "line_no", F.expr(LEGAL).alias("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
+    # made inside the array, so that no filter behind it makes a line anew
+    made = F.expr(f"transform(split(text, '\n'), (text, line_no) -> {LEGAL})")
+    return docs.select("doc_id", F.posexplode(made).alias("line_no", "text"))
 
 
 def ocr_words(spark: SparkSession, sf_dir: str) -> DataFrame:

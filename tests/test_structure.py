@@ -88,3 +88,11 @@ def test_markdown_reads_its_lines_twice_at_most(spark):
 
     plan = S.markdown(lines_by_document(spark.read.parquet("/tmp/lexstrata-plan2")))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") <= 2 and plan.count("Exchange hashpartitioning") <= 4
+
+
+def test_made_lines_are_not_made_anew(spark):
+    """No filter or projection repeats the expression that makes a line; both sides of the header's join read it once."""
+    from lexstrata.plans import catalogue
+
+    plan = catalogue.QUERIES["markdown_lines"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("DISPOSICIONES GENERALES") <= 2
